@@ -1,0 +1,4 @@
+"""Registry of the queries over the reference's own operators."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
