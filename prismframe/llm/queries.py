@@ -1,10 +1,14 @@
 """Registry of the corpus operators' queries and of the SQL for those that SQL can express."""
 
-from . import line_dedup, token_counts, url_filter
+from . import decontamination, line_dedup, mixing, secrets, sharding, token_counts, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.query,
     "op2_line_dedup": line_dedup.query,
+    "op3_secret_scan": secrets.query,
+    "op5_sharding": sharding.query,
+    "op8_decontamination": decontamination.query,
     "op9_url_filter": url_filter.query,
+    "op10_mixing": mixing.query,
 }
 ORACLES = {"op2_line_dedup": line_dedup.SQL, "op9_url_filter": url_filter.SQL}
