@@ -1,8 +1,60 @@
-"""A corpus pipeline of the operators in ``prismframe.llm``."""
+"""A corpus pipeline of the operators in ``prismframe.llm``.
 
-STAGES = []
+Quality rules, near duplicates, benchmark decontamination, mixing to target weights, sharding. Each stage works on what
+its predecessor kept, written as Parquet in the folder that all executors share and read again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from prismframe.llm.common import cut, table
+from prismframe.llm.decontamination import decontaminate
+from prismframe.llm.mixing import mix_documents
+from prismframe.llm.near_duplicates import drop_near_duplicates
+from prismframe.llm.quality import reject_outliers
+from prismframe.llm.sharding import shard_documents
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are outliers of their language and source go."""
+    return reject_outliers(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return drop_near_duplicates(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, give or take its error budget, go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many words as came in, by target weights: a document comes once for every epoch it is in."""
+    return mix_documents(docs, epoch_col=None)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of documents and ``shard_id``; copies of a text share a shard."""
+    return shard_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing to target weights", mixing),
+    ("sharding", sharding),
+]
+
+#: None: covariance estimates, connected components and edit distances are beyond SQL; tests hold the stages to brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir))
+    return docs
