@@ -37,13 +37,15 @@ def lineages(members: DataFrame, least: float = 0.3, window: int = 7) -> DataFra
     """(day, cluster_id, root_day, root_cluster) of clusters in a lineage of two days or more.
 
     Every cluster has one predecessor at most, so the links are a forest: doubling pointers reaches every root in
-    log2(window) self joins, without an iterative driver loop over data.
+    log2(window) self joins. Each step is written to the session's shared folder, since the next reads it twice.
     """
+    from ..plans.session import shared_checkpoint
+
     links = predecessor_links(members, least)
     nodes = members.select("day", "cluster_id").distinct()
     at = nodes.join(links.select("day", "cluster_id", "prev_day", "prev_cluster"), ["day", "cluster_id"], "left").select("day", "cluster_id", F.coalesce("prev_day", "day").alias("root_day"), F.coalesce("prev_cluster", "cluster_id").alias("root_cluster"))
-    steps = max(1, (window - 1).bit_length())
-    for _ in range(steps):
+    for _ in range(max(1, (window - 1).bit_length())):
+        at = shared_checkpoint(at)
         up = at.select(F.col("day").alias("root_day"), F.col("cluster_id").alias("root_cluster"), F.col("root_day").alias("_d"), F.col("root_cluster").alias("_c"))
         at = at.join(up, ["root_day", "root_cluster"]).select("day", "cluster_id", F.col("_d").alias("root_day"), F.col("_c").alias("root_cluster"))
     n = F.count(F.lit(1)).over(W.partitionBy("root_day", "root_cluster"))
