@@ -57,3 +57,26 @@ def rule_errors(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Adds ``errors``: the names of the rules that don't hold (null counts as not holding)."""
     failed = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()])
     return rows.withColumn("errors", F.filter(failed, lambda e: e.isNotNull()))
+
+
+def verbatim(quotes: DataFrame, docs: DataFrame, quote_id: str, quote: str, doc_id: str, text: str) -> DataFrame:
+    """(quote_id, n_documents, first_document): documents that hold each quote word for word.
+
+    Anchored instead of testing all pairs: the quote's second to fifth words stand whole in any text that holds it, so
+    quotes and documents meet at four-word keys and only those pairs are compared. Shorter quotes are compared with all.
+    """
+    q = quotes.select(F.col(quote_id).alias("q_id"), F.col(quote).alias("q"), F.split(F.col(quote), " ").alias("w"))
+    long = F.size("w") >= 6
+    d = docs.select(F.col(doc_id).alias("d_id"), F.col(text).alias("t"))
+    w = F.split("t", " ")
+
+    def shifted(k: int) -> Column:
+        return F.slice("w", F.lit(k + 1), F.greatest(F.size("w") - 3, F.lit(0)))
+
+    fours = F.zip_with(F.zip_with(shifted(0), shifted(1), lambda a, b: F.concat_ws(" ", a, b)), F.zip_with(shifted(2), shifted(3), lambda a, b: F.concat_ws(" ", a, b)), lambda a, b: F.xxhash64(a, b))
+    keys = q.filter(long).select("q_id", F.xxhash64(F.concat_ws(" ", F.col("w")[1], F.col("w")[2]), F.concat_ws(" ", F.col("w")[3], F.col("w")[4])).alias("k"))
+    met = d.select("d_id", w.alias("w")).select("d_id", F.explode(F.array_distinct(fours)).alias("k")).join(keys, "k").select("q_id", "d_id").distinct()
+    hits = met.join(d, "d_id").join(q.select("q_id", "q"), "q_id").filter(F.col("t").contains(F.col("q"))).select("q_id", "d_id")
+    short = q.filter(~long).join(d, F.col("t").contains(F.col("q"))).select("q_id", "d_id")
+    found = hits.unionByName(short).distinct()
+    return q.select("q_id").join(found, "q_id", "left").groupBy(F.col("q_id").alias(quote_id)).agg(F.count("d_id").alias("n_documents"), F.min("d_id").alias("first_document"))
