@@ -8,6 +8,7 @@ edit distance of the item to any substring of that stretch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -111,11 +112,11 @@ class Matcher:
                 yield item_id, best
 
 
-_matchers: dict[int, Matcher] = {}
+_matchers: dict[str, Matcher] = {}
 
 
-def _passes(benchmark: DataFrame, item_col: str, text_col: str, error_rate: float, chars: int) -> Iterator[object]:
-    """Broadcasts of the benchmark's normalised items, each of at most about ``chars`` characters."""
+def _passes(benchmark: DataFrame, item_col: str, text_col: str, error_rate: float, chars: int) -> Iterator[tuple]:
+    """(name, broadcast) of the benchmark's normalised items, each of at most about ``chars`` characters."""
     spark = benchmark.sparkSession
     part: list[tuple[object, str]] = []
     size = 0
@@ -125,16 +126,17 @@ def _passes(benchmark: DataFrame, item_col: str, text_col: str, error_rate: floa
             part.append((row["i"], text))
             size += len(text)
             if size >= chars:
-                yield spark.sparkContext.broadcast((part, error_rate))
+                yield uuid.uuid4().hex, spark.sparkContext.broadcast((part, error_rate))
                 part, size = [], 0
-    yield spark.sparkContext.broadcast((part, error_rate))
+    yield uuid.uuid4().hex, spark.sparkContext.broadcast((part, error_rate))
 
 
-def _matcher(shared) -> Matcher:
-    if id(shared) not in _matchers:
+def _matcher(name: str, shared) -> Matcher:
+    """Built once per worker and pass."""
+    if name not in _matchers:
         _matchers.clear()
-        _matchers[id(shared)] = Matcher(*shared.value)
-    return _matchers[id(shared)]
+        _matchers[name] = Matcher(*shared.value)
+    return _matchers[name]
 
 
 def contamination(
@@ -152,9 +154,9 @@ def contamination(
     schema = T.StructType([T.StructField(id_col, picked.schema["id"].dataType), T.StructField(item_col, item_type), T.StructField("distance", T.IntegerType())])
     arrow_item = pa.schema(_arrow(schema)).field(1).type
 
-    def scan(shared):
+    def scan(name, shared):
         def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            match = _matcher(shared)
+            match = _matcher(name, shared)
             for batch in rows:
                 at, items, distances = [], [], []
                 for i, text in enumerate(normalise(batch.column(1)).to_pylist()):
@@ -168,8 +170,8 @@ def contamination(
         return batches
 
     out = None
-    for shared in _passes(benchmark, item_col, item_text_col, error_rate, chars_a_pass):
-        part = picked.mapInArrow(scan(shared), schema)
+    for name, shared in _passes(benchmark, item_col, item_text_col, error_rate, chars_a_pass):
+        part = picked.mapInArrow(scan(name, shared), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -187,17 +189,17 @@ def decontaminate(
     """The rows of ``docs``, all columns, in which no item occurs (see ``contamination``). Null texts stay."""
     where = docs.columns.index(text_col)
 
-    def clean(shared):
+    def clean(name, shared):
         def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            match = _matcher(shared)
+            match = _matcher(name, shared)
             for batch in rows:
                 texts = normalise(batch.column(where)).to_pylist()
                 yield batch.filter(pa.array([not t or next(match.hits(t), None) is None for t in texts], pa.bool_()))
 
         return batches
 
-    for shared in _passes(benchmark, item_col, item_text_col, error_rate, chars_a_pass):
-        docs = docs.mapInArrow(clean(shared), docs.schema)
+    for name, shared in _passes(benchmark, item_col, item_text_col, error_rate, chars_a_pass):
+        docs = docs.mapInArrow(clean(name, shared), docs.schema)
     return docs
 
 

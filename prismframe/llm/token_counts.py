@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -119,7 +120,7 @@ class CountOnlyViterbi:
         return total
 
 
-_counters: dict[object, CountOnlyViterbi] = {}
+_counters: dict[str, CountOnlyViterbi] = {}
 
 
 def token_counts(
@@ -133,7 +134,7 @@ def token_counts(
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
     picked = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField(id_col, picked.schema["id"].dataType), T.StructField("n_tokens", T.LongType())])
-    key = (id(shared), dummy_prefix)
+    key = uuid.uuid4().hex
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _counters:
