@@ -228,9 +228,13 @@ def extract(page: str, weights: tuple[float, ...]) -> tuple[str, int, int]:
 
 
 def fit_classifier(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", training_pages: int = TRAINING_PAGES) -> tuple[float, ...]:
-    """Weights from the blocks under content and chrome tags of ``training_pages`` pages, chosen by a hash of their HTML."""
-    order = F.xxhash64(col(html_col))
-    sample = pages.select(col(html_col).cast("string").alias("html")).filter("html IS NOT NULL").orderBy(order, "html").limit(training_pages)
+    """Weights from the blocks under content and chrome tags of the ``training_pages`` distinct pages with the least hash."""
+    read = pages.select(col(html_col).cast("string").alias("html")).filter("html IS NOT NULL").withColumn("h", F.xxhash64("html"))
+    # only hashes are sorted: the pages up to the last of the least ones are then read where they lie
+    last = read.select("h").distinct().orderBy("h").limit(training_pages).agg(F.max("h")).first()[0]
+    if last is None:
+        return DEFAULT_WEIGHTS
+    sample = read.filter(F.col("h") <= last).dropDuplicates(["h"]).select("html")
     schema = "f array<double>, y int"
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
