@@ -56,8 +56,8 @@ def record_html(raw: bytes | None) -> dict:
 
 
 def parse_record(raw: Column | str) -> Column:
-    def over(batch: pd.Series) -> pd.Series:
-        return batch.map(record_html)
+    def over(batch: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([record_html(x) for x in batch], columns=["status", "html"])
 
     return F.pandas_udf(over, "struct<status string, html string>")(raw)
 
