@@ -80,7 +80,8 @@ def mix(
 
     ``budget``: tokens wanted, by default all that there are; ``tokens``: a row's count (null or negative: 0). A null
     domain, language or source is a node of its own. Order within an epoch is a hash of seed, epoch and id; ties (null
-    or repeated ids) follow the text's hash, and equal rows are interchangeable. A leaf without tokens gives no rows.
+    or repeated ids) follow the text's hash, and rows equal in all that come in or stay out together. A leaf without
+    tokens gives no rows.
     An empty table gives an empty one. Input columns named like the epoch column are replaced.
     """
     spark = docs.sparkSession
@@ -100,18 +101,21 @@ def mix(
     chosen = spark.createDataFrame(pd.DataFrame(plan, columns=names), shape).select(F.struct("domain", "lang", "source").alias("leaf"), "full", "rest", "slices")
     seeded = read.join(chosen, "leaf").withColumn("order", F.xxhash64(F.lit(seed), F.col("full"), F.col("id")))
     sliced = seeded.withColumn("slice", F.floor((F.col("order").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("slices")).cast("long"))
-    totals = sliced.groupBy("leaf", "slice").agg(F.sum("t").alias("here"))
+    at = F.struct("order", "h", "t")
+    # windows see slim rows only; each leaf's prefix comes down to its last row, and texts never leave their partition
+    slim = sliced.select("leaf", "slice", "rest", "order", "h", "t")
+    totals = slim.groupBy("leaf", "slice").agg(F.sum("t").alias("here"), F.max(at).alias("last"), F.first("rest").alias("rest"))
     earlier = W.partitionBy("leaf").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     # written, the slices' table has a known size, by which Catalyst picks the join
-    before = cut(totals.select("leaf", "slice", F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("before"), "here"))
-    placed = sliced.join(before, ["leaf", "slice"])
+    before = cut(totals.withColumn("before", F.coalesce(F.sum("here").over(earlier), F.lit(0))))
     inside = F.col("before") + F.col("here") <= F.col("rest")
-    edge = ~inside & (F.col("before") <= F.col("rest"))
-    running = F.sum("t").over(W.partitionBy("leaf", "slice").orderBy("order", "h", "t", "id").rowsBetween(W.unboundedPreceding, 0))
-    upto = F.col("before") + running
-    on_edge = placed.filter(edge).withColumn("more", (upto <= F.col("rest")).cast("int"))
-    others = placed.filter(~edge).withColumn("more", inside.cast("int"))
-    both = others.unionByName(on_edge).filter(F.col("full") + F.col("more") > 0)
+    edge = before.filter(~inside & (F.col("before") <= F.col("rest"))).select("leaf", "slice", "before")
+    peers = W.partitionBy("leaf", "slice").orderBy(at).rangeBetween(W.unboundedPreceding, W.currentRow)
+    on_edge = slim.join(edge, ["leaf", "slice"]).withColumn("upto", F.col("before") + F.sum("t").over(peers)).filter("upto <= rest")
+    lasts = before.filter(inside).select("leaf", "last").unionByName(on_edge.select("leaf", at.alias("last")))
+    prefix = cut(lasts.groupBy("leaf").agg(F.max("last").alias("last")))
+    chosen_rows = seeded.join(prefix, "leaf", "left").withColumn("more", F.coalesce(at <= F.col("last"), F.lit(False)).cast("int"))
+    both = chosen_rows.filter(F.col("full") + F.col("more") > 0)
     out = both.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") + F.col("more") - 1)))
     return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *([F.col("epoch").alias(epoch_col)] if epoch_col else []))
 
