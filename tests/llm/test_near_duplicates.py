@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from prismframe.llm.near_duplicates import drop_near_duplicates, gram_sets, near_duplicate_groups, part_keys, verified_pairs
+from prismframe.llm.near_duplicates import THRESHOLD, drop_near_duplicates, gram_sets, near_duplicate_groups, part_keys, verified_pairs
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -22,7 +22,7 @@ def corpus(seed=1, n=150):
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
-def brute_pairs(rows, t=0.7):
+def brute_pairs(rows, t=THRESHOLD):
     sets = [set(g.tolist()) for g in gram_sets(pa.array([x for _, x in rows]), 2)]
     out = set()
     for i in range(len(rows)):
@@ -73,10 +73,10 @@ def test_small_sets_always_share_a_part():
                 c[rng.integers(0, len(c))] = rng.integers(0, 1 << 63)
                 c = np.unique(c)
                 both = len(np.intersect1d(a, c))
-                if both / (len(a) + len(c) - both) < 0.7:
+                if both / (len(a) + len(c) - both) < THRESHOLD:
                     break
                 b = c
-            assert set(part_keys(a, 0.7).tolist()) & set(part_keys(b, 0.7).tolist())
+            assert set(part_keys(a, THRESHOLD).tolist()) & set(part_keys(b, THRESHOLD).tolist())
 
 
 def test_edges(spark):
