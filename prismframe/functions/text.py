@@ -41,8 +41,7 @@ def singular(token: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Letter runs of four or more in any script, singular, without stopwords; null text has none."""
     words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\p{L}{4,})"), F.lit(1)), singular)
-    stop = F.array(*map(F.lit, STOPWORDS))
-    return F.filter(words, lambda w: (F.length(w) >= MIN_LENGTH) & ~F.array_contains(stop, w))
+    return F.filter(words, lambda w: (F.length(w) >= MIN_LENGTH) & ~w.isin(*STOPWORDS))  # so many literals become a hash set
 
 
 def title_tokens(title: Column) -> Column:
