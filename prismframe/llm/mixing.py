@@ -80,15 +80,17 @@ def mix(
 
     ``budget``: tokens wanted, by default all that there are; ``tokens``: a row's count (null or negative: 0). A null
     domain, language or source is a node of its own. Order within an epoch is a hash of seed, epoch and id; ties (null
-    or repeated ids) follow the text's hash, and rows equal in all that come in or stay out together. A leaf without
-    tokens gives no rows.
+    or repeated ids) follow the text's hash, and rows equal in both come in or stay out together. A leaf without tokens
+    gives no rows.
     An empty table gives an empty one. Input columns named like the epoch column are replaced.
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c != epoch_col]
     leaf = F.struct(*[F.coalesce(F.concat(F.lit("="), x.cast("string")), F.lit("")).alias(n) for n, x in zip(LEVELS, (domain, col(lang_col), col(source_col)), strict=True)])
     read = docs.select(F.struct(*[col(c) for c in kept]).alias("row"), leaf.alias("leaf"), F.greatest(F.coalesce(tokens, F.lit(0)), F.lit(0)).cast("long").alias("t"), col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("h"))
-    leaves = read.groupBy("leaf").agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("n")).select("leaf.*", "t", "n").collect()
+    # the one pass that counts tokens; everything up to the choice of rows works on this slim table
+    counted = cut(read.select("leaf", "id", "h", "t"))
+    leaves = counted.groupBy("leaf").agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("n")).select("leaf.*", "t", "n").collect()
     have = {tuple(x[1:] if x else None for x in r[:3]): r["t"] for r in leaves if r["t"] > 0}
     quotas = leaf_quotas(have, weights, sum(have.values()) if budget is None else budget, max_epochs)
     plan = []
@@ -99,9 +101,10 @@ def mix(
     names = ["domain", "lang", "source", "full", "rest", "slices"]
     shape = "domain string, lang string, source string, full long, rest long, slices long"
     chosen = spark.createDataFrame(pd.DataFrame(plan, columns=names), shape).select(F.struct("domain", "lang", "source").alias("leaf"), "full", "rest", "slices")
-    seeded = read.join(chosen, "leaf").withColumn("order", F.xxhash64(F.lit(seed), F.col("full"), F.col("id")))
-    sliced = seeded.withColumn("slice", F.floor((F.col("order").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("slices")).cast("long"))
-    at = F.struct("order", "h", "t")
+    order = F.xxhash64(F.lit(seed), F.col("full"), F.col("id"))
+    at = F.struct("order", "h")
+    sliced = counted.join(chosen, "leaf").withColumn("order", order)
+    sliced = sliced.withColumn("slice", F.floor((F.col("order").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("slices")).cast("long"))
     # windows see slim rows only; each leaf's prefix comes down to its last row, and texts never leave their partition
     slim = sliced.select("leaf", "slice", "rest", "order", "h", "t")
     totals = slim.groupBy("leaf", "slice").agg(F.sum("t").alias("here"), F.max(at).alias("last"), F.first("rest").alias("rest"))
@@ -114,7 +117,7 @@ def mix(
     on_edge = slim.join(edge, ["leaf", "slice"]).withColumn("upto", F.col("before") + F.sum("t").over(peers)).filter("upto <= rest")
     lasts = before.filter(inside).select("leaf", "last").unionByName(on_edge.select("leaf", at.alias("last")))
     prefix = cut(lasts.groupBy("leaf").agg(F.max("last").alias("last")))
-    chosen_rows = seeded.join(prefix, "leaf", "left").withColumn("more", F.coalesce(at <= F.col("last"), F.lit(False)).cast("int"))
+    chosen_rows = read.drop("t").join(chosen, "leaf").withColumn("order", order).join(prefix, "leaf", "left").withColumn("more", F.coalesce(at <= F.col("last"), F.lit(False)).cast("int"))
     both = chosen_rows.filter(F.col("full") + F.col("more") > 0)
     out = both.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") + F.col("more") - 1)))
     return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *([F.col("epoch").alias(epoch_col)] if epoch_col else []))
