@@ -9,11 +9,11 @@ from ..sources import snapshots, webarchive
 from .registry import ARTICLES, FACTS, QUOTES, articles, facts, query, quotes, read
 
 
-@query("""WITH i AS (SELECT doc_id, source, text, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'ERROR' WHEN 2 THEN 'FULL' ELSE 'NONE' END AS st FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM i WHERE st IS NULL OR st IN ('ERROR', 'NONE')) SELECT doc_id, source FROM r WHERE r <= 3 OR doc_id % 50 = 0""")
+@query("""WITH i AS (SELECT doc_id, source, text, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'ERROR' WHEN 2 THEN 'FULL' ELSE 'NONE' END AS st FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM i WHERE st IS NULL OR st IN ('ERROR', 'NONE')) SELECT doc_id, source FROM r WHERE r <= 3 OR length(text) > 5000""")
 def items_to_extract(spark, sf_dir):
     m = F.col("doc_id") % 4
-    d = read(spark, sf_dir, "documents").select("doc_id", "source", F.lit("x").alias("link"), F.when(m == 1, "ERROR").when(m == 2, "FULL").when(m == 3, "NONE").alias("st"))
-    return SL.select_items(d, "source", "doc_id", "link", "st", F.col("doc_id") % 50 == 0, 3).select("doc_id", "source")
+    d = read(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("n"), F.lit("x").alias("link"), F.when(m == 1, "ERROR").when(m == 2, "FULL").when(m == 3, "NONE").alias("st"))
+    return SL.select_items(d, "source", "doc_id", "link", "st", F.col("n") > 5000, 3).select("doc_id", "source")
 
 
 @query("""SELECT doc_id, CASE WHEN length(text) >= 200 THEN 'done' WHEN doc_id % 3 = 0 OR doc_id % 3 = 1 THEN 'archive' WHEN doc_id % 2 = 0 THEN 'crawl' ELSE 'none' END AS tier FROM documents""")
@@ -29,12 +29,11 @@ def stable_sample(spark, sf_dir):
     return SL.stable_sample(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 200)
 
 
-@query(f"""WITH {ARTICLES}, c AS (SELECT outlet AS bucket, lang AS term, count(*) AS score FROM articles GROUP BY ALL), w AS (SELECT outlet AS bucket, story AS term, count(*) AS score FROM articles WHERE length(story) = 3 GROUP BY ALL),
-b AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM c WHERE bucket = 'src1'), x AS (SELECT bucket, term, score, 'bigram' AS kind FROM b WHERE r = 1 UNION ALL SELECT bucket, term, score, 'word' FROM (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM w WHERE bucket <> 'src1') WHERE r = 1) SELECT * FROM x ORDER BY score DESC, bucket LIMIT 3""")
+@query(f"""WITH {ARTICLES}, c AS (SELECT outlet AS bucket, lang AS term, count(*) AS score FROM articles GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM c), x AS (SELECT bucket, term, score, 'bigram' AS kind FROM b WHERE r = 1) SELECT * FROM x ORDER BY score DESC, bucket LIMIT 3""")
 def distinctive_phrases(spark, sf_dir):
     a = articles(spark, sf_dir).withColumn("bucket", F.col("outlet"))
-    c = a.filter("outlet = 'src1'").groupBy("bucket", F.col("lang").alias("term")).agg(F.count(F.lit(1)).alias("score"))
-    w = a.filter("length(story) = 3").groupBy("bucket", F.col("story").alias("term")).agg(F.count(F.lit(1)).alias("score"))
+    c = a.groupBy("bucket", F.col("lang").alias("term")).agg(F.count(F.lit(1)).alias("score"))
+    w = a.groupBy("bucket", F.col("story").alias("term")).agg(F.count(F.lit(1)).alias("score"))
     return SL.distinctive_phrases(c, w, F.array(F.lit("France"), F.lit("north korea")))
 
 
@@ -144,11 +143,11 @@ def host_shares(spark, sf_dir):
     return read(spark, sf_dir, "pages").groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("url").contains("utm_")).alias("n_tracked"), F.bool_or(urls.is_google_news(F.col("url"))).alias("google"))
 
 
-@query(f"WITH {FACTS}, p AS (SELECT DISTINCT story, bucket FROM facts WHERE event_id % 40 = 0) SELECT bucket, coalesce(r_name, 'other') AS region, count(*) AS n FROM p LEFT JOIN (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 8) x USING (bucket) GROUP BY ALL")
+@query(f"WITH {FACTS}, p AS (SELECT DISTINCT story, bucket FROM facts) SELECT bucket, coalesce(r_name, 'other') AS region, count(*) AS n FROM p LEFT JOIN (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 8) x USING (bucket) GROUP BY ALL")
 def bucket_regions(spark, sf_dir):
     n, r = read(spark, sf_dir, "nation").filter("n_nationkey < 8"), read(spark, sf_dir, "region")
     m = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("bucket"), "r_name")
-    p = facts(spark, sf_dir).filter("event_id % 40 = 0").select("story", "bucket").distinct()
+    p = facts(spark, sf_dir).select("story", "bucket").distinct()
     return p.join(m, "bucket", "left").groupBy("bucket", F.coalesce("r_name", F.lit("other")).alias("region")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -74,11 +74,11 @@ def verbatim_grounding(spark, sf_dir):
     return Q.verbatim(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"), "item_id", "text", "doc_id", "text")
 
 
-_CARRY = f"{FACTS}, ca AS (SELECT DISTINCT story AS frame, bucket FROM facts WHERE event_id % 61 = 0), wt AS (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, 1.0 + n_regionkey AS weight FROM nation WHERE n_nationkey < 10)"
+_CARRY = f"{FACTS}, ca AS (SELECT DISTINCT story AS frame, bucket FROM facts WHERE value > 260), wt AS (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, 1.0 + n_regionkey AS weight FROM nation WHERE n_nationkey < 10)"
 
 
 def _carriers(spark, sf_dir):
-    c = facts(spark, sf_dir).filter("event_id % 61 = 0").select(F.col("story").alias("frame"), "bucket")
+    c = facts(spark, sf_dir).filter("value > 260").select(F.col("story").alias("frame"), "bucket")
     w = read(spark, sf_dir, "nation").filter("n_nationkey < 10").select(F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("bucket"), (F.col("n_regionkey") + 1.0).alias("weight"))
     return c, w
 
@@ -94,10 +94,9 @@ def frame_share_intervals(spark, sf_dir):
     return C.bootstrap_shares(*_carriers(spark, sf_dir))
 
 
-@query(f"WITH {FACTS}, c AS (SELECT story, bucket, min(event_id) AS e FROM facts WHERE event_id % 61 = 0 GROUP BY ALL) SELECT story, " + ", ".join(f"max(CASE WHEN bucket = 'b{i}' THEN e END) AS b{i}" for i in range(12)) + " FROM c GROUP BY story")
+@query(f"WITH {FACTS}, c AS (SELECT story, bucket, min(event_id) AS e FROM facts GROUP BY ALL) SELECT story, " + ", ".join(f"max(CASE WHEN bucket = 'b{i}' THEN e END) AS b{i}" for i in range(12)) + " FROM c GROUP BY story")
 def frame_bucket_carry(spark, sf_dir):
-    f = facts(spark, sf_dir).filter("event_id % 61 = 0")
-    return f.groupBy("story").pivot("bucket", [f"b{i}" for i in range(12)]).agg(F.min("event_id"))
+    return facts(spark, sf_dir).groupBy("story").pivot("bucket", [f"b{i}" for i in range(12)]).agg(F.min("event_id"))
 
 
 _SIGNALS = f"""{FACTS}, sg AS (SELECT day, story AS key, count(DISTINCT bucket) AS n_buckets, CAST(count(*) AS DOUBLE) AS max_llr, 12 - count(DISTINCT bucket) AS n_silent, max(value) / 40 AS max_z, count(DISTINCT feed) AS n_speakers, CAST(3 AS BIGINT) AS n_types, CAST(2 AS BIGINT) AS n_outlets, (event_id_max % 70) AS joint_len, (event_id_max % 9) / 20.0 AS max_delta_7d
@@ -186,9 +185,9 @@ def coverage_warnings(spark, sf_dir):
     return trailing_mean(d, ["bucket"], "day", "n").filter((F.col("n") < 28) & (F.col("trailing_mean") >= 2)).select("bucket", "day")
 
 
-@query(f"WITH {QUOTES} SELECT story, idx, coalesce(CASE WHEN length(quote) <= 60 THEN quote ELSE rtrim(left(quote, 59)) || '…' END, '') AS short FROM quotes WHERE idx = 0")
+@query(f"WITH {QUOTES} SELECT story, idx, coalesce(CASE WHEN length(quote) <= 60 THEN quote ELSE rtrim(left(quote, 59)) || '…' END, '') AS short FROM quotes")
 def quote_excerpts(spark, sf_dir):
-    return quotes(spark, sf_dir).filter("idx = 0").select("story", "idx", F.coalesce(X.truncate(F.col("quote"), 60), F.lit("")).alias("short"))
+    return quotes(spark, sf_dir).select("story", "idx", F.coalesce(X.truncate(F.col("quote"), 60), F.lit("")).alias("short"))
 
 
 @query("WITH d AS (SELECT doc_id, lag(doc_id) OVER (ORDER BY doc_id) AS p FROM documents) SELECT source, lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY CUBE (source, lang)")
@@ -196,9 +195,9 @@ def source_language_cube(spark, sf_dir):
     return read(spark, sf_dir, "documents").cube("source", "lang").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {ARTICLES}, w AS (SELECT outlet, doc_id, length(body) AS n FROM articles WHERE lower(left(body, 1500)) LIKE '%the%'), r AS (SELECT *, row_number() OVER (PARTITION BY outlet ORDER BY n DESC, doc_id) AS rank FROM w) SELECT outlet, doc_id, n AS n_chars, rank FROM r WHERE rank <= 3""")
+@query(f"""WITH {ARTICLES}, w AS (SELECT outlet, doc_id, length(body) AS n FROM articles WHERE lower(body) LIKE '%the%'), r AS (SELECT *, row_number() OVER (PARTITION BY outlet ORDER BY n DESC, doc_id) AS rank FROM w) SELECT outlet, doc_id, n AS n_chars, rank FROM r WHERE rank <= 3""")
 def longest_matching(spark, sf_dir):
-    a = articles(spark, sf_dir).filter(F.lower(F.left("body", F.lit(1500))).contains("the")).select("outlet", "doc_id", F.length("body").cast("long").alias("n_chars"))
+    a = articles(spark, sf_dir).filter(F.lower("body").contains("the")).select("outlet", "doc_id", F.length("body").cast("long").alias("n_chars"))
     return top_k(a, ["outlet"], [F.desc("n_chars"), F.col("doc_id")], 3).select("outlet", "doc_id", "n_chars", F.col("rank").cast("long").alias("rank"))
 
 

@@ -10,13 +10,11 @@ from ..operators import series as S
 from .registry import ARTICLES, FACTS, articles, facts, query, read, title_tokens_sql
 from .text import CANONICAL
 
-_DAILY = f"{FACTS}, daily AS (SELECT bucket, day, count(*) AS n FROM facts WHERE NOT (bucket = 'b3' AND day > DATE '2024-01-12' AND event_id % 4 > 0) GROUP BY ALL)"
+_DAILY = f"{FACTS}, daily AS (SELECT bucket || story AS bucket, day, count(*) AS n FROM facts GROUP BY ALL)"
 
 
 def _daily(spark, sf_dir):
-    f = facts(spark, sf_dir)
-    fading = (F.col("bucket") == "b3") & (F.col("day") > F.lit("2024-01-12").cast("date")) & (F.col("event_id") % 4 > 0)
-    return f.filter(~fading).groupBy("bucket", "day").agg(F.count(F.lit(1)).alias("n"))
+    return facts(spark, sf_dir).groupBy(F.concat("bucket", "story").alias("bucket"), "day").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {_DAILY} SELECT bucket, day, n, round(avg(n) OVER (PARTITION BY bucket ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING), 1) AS trailing_mean FROM daily")
@@ -29,17 +27,16 @@ def volume_drops(spark, sf_dir):
     return S.volume_drops(_daily(spark, sf_dir), ["bucket"], "day", "n").withColumn("trailing_mean", F.round("trailing_mean", 6))
 
 
-@query(f"WITH {_DAILY}, b AS (SELECT bucket, day, n > 25 AS busy FROM daily), c AS (SELECT *, CASE WHEN lag(busy) OVER w IS NOT DISTINCT FROM busy AND lag(1) OVER w IS NOT NULL THEN 0 ELSE 1 END AS c FROM b WINDOW w AS (PARTITION BY bucket ORDER BY day)), g AS (SELECT *, sum(c) OVER (PARTITION BY bucket ORDER BY day) AS g FROM c) SELECT bucket, busy, min(day) AS from_day, max(day) AS to_day, count(*) AS n_days FROM g GROUP BY bucket, g, busy")
+@query(f"WITH {_DAILY}, b AS (SELECT bucket, day, n > 5 AS busy FROM daily), c AS (SELECT *, CASE WHEN lag(busy) OVER w IS NOT DISTINCT FROM busy AND lag(1) OVER w IS NOT NULL THEN 0 ELSE 1 END AS c FROM b WINDOW w AS (PARTITION BY bucket ORDER BY day)), g AS (SELECT *, sum(c) OVER (PARTITION BY bucket ORDER BY day) AS g FROM c) SELECT bucket, busy, min(day) AS from_day, max(day) AS to_day, count(*) AS n_days FROM g GROUP BY bucket, g, busy")
 def run_lengths(spark, sf_dir):
-    return S.runs(_daily(spark, sf_dir).select("bucket", "day", (F.col("n") > 25).alias("busy")), ["bucket"], "day", "busy")
+    return S.runs(_daily(spark, sf_dir).select("bucket", "day", (F.col("n") > 5).alias("busy")), ["bucket"], "day", "busy")
 
 
-_SHARES = f"{FACTS}, sh AS (SELECT story, day, count(DISTINCT bucket) / 12.0 AS share FROM facts WHERE event_id % 5 = 0 GROUP BY ALL), dl AS (SELECT *, share - lag(share) OVER (PARTITION BY story ORDER BY day) AS delta, row_number() OVER (PARTITION BY story ORDER BY day DESC) AS r FROM sh)"
+_SHARES = f"{FACTS}, sh AS (SELECT story, day, count(DISTINCT feed) / 150.0 AS share FROM facts GROUP BY ALL), dl AS (SELECT *, share - lag(share) OVER (PARTITION BY story ORDER BY day) AS delta, row_number() OVER (PARTITION BY story ORDER BY day DESC) AS r FROM sh)"
 
 
 def _shares(spark, sf_dir):
-    f = facts(spark, sf_dir).filter("event_id % 5 = 0")
-    return f.groupBy("story", "day").agg((F.count_distinct("bucket") / F.lit(12.0)).alias("share"))
+    return facts(spark, sf_dir).groupBy("story", "day").agg((F.count_distinct("feed") / F.lit(150.0)).alias("share"))
 
 
 @query(f"WITH {_SHARES} SELECT story, day, round(share, 6) AS share, round(delta, 6) AS delta, coalesce(abs(delta) > 0.1, false) AS moved FROM dl")
@@ -52,7 +49,7 @@ def largest_recent_moves(spark, sf_dir):
     return S.largest_recent_move(_shares(spark, sf_dir), ["story"], "day", "share").withColumn("max_move", F.round("max_move", 6))
 
 
-_CCF = f"""{FACTS}, pr AS (SELECT DISTINCT bucket, story, day FROM facts WHERE event_id % 7 = 0), ps AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS pos FROM (SELECT DISTINCT day FROM facts)),
+_CCF = f"""{FACTS}, pr AS (SELECT bucket, story, day FROM facts GROUP BY ALL HAVING sum(value) > 250), ps AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS pos FROM (SELECT DISTINCT day FROM facts)),
 pa AS (SELECT a.bucket AS a, b.bucket AS b FROM (SELECT DISTINCT bucket FROM pr) a JOIN (SELECT DISTINCT bucket FROM pr) b ON a.bucket < b.bucket), st AS (SELECT DISTINCT bucket, story FROM pr),
 g AS (SELECT pa.a, pa.b, x.story, l.lag, p.pos FROM pa JOIN st x ON x.bucket = a JOIN st y ON y.bucket = b AND x.story = y.story CROSS JOIN (SELECT unnest(range(-7, 8)) AS lag) l CROSS JOIN ps p WHERE p.pos + lag BETWEEN 0 AND (SELECT max(pos) FROM ps)),
 z AS (SELECT bucket, story, pos FROM pr JOIN ps USING (day)),
@@ -63,7 +60,7 @@ r AS (SELECT a, b, story, CAST(lag AS INT) AS lag, n, CASE WHEN n >= 3 AND n * s
 
 def _ccf(spark, sf_dir):
     f = facts(spark, sf_dir)
-    p = f.filter("event_id % 7 = 0").select("bucket", "story", "day", F.lit(1).alias("x")).distinct()
+    p = f.groupBy("bucket", "story", "day").agg(F.sum("value").alias("v")).filter("v > 250").select("bucket", "story", "day", F.lit(1).alias("x"))  # days of heavy coverage
     b = p.select("bucket").distinct()
     pairs = b.select(F.col("bucket").alias("a")).join(b.select(F.col("bucket").alias("b")), F.col("a") < F.col("b"))
     return S.lagged_correlation(p, pairs, f.select("day").distinct()).withColumn("r", F.round("r", 6))
@@ -89,9 +86,9 @@ def lag_significance(spark, sf_dir):
     return benjamini_hochberg(tested, "p", []).filter("p <= 0.05")
 
 
-@query(f"WITH {FACTS}, st AS (SELECT bucket, day, list_sort(list(DISTINCT story)) AS v FROM facts WHERE event_id % 5 = 0 GROUP BY ALL), p AS (SELECT bucket, v, lag(v) OVER (PARTITION BY bucket ORDER BY day) AS b FROM st), j AS (SELECT bucket, len(list_intersect(v, b)) / len(list_distinct(list_concat(v, b))) AS j FROM p WHERE b IS NOT NULL) SELECT bucket, round(avg(j), 6) AS stability, count(*) AS n_pairs, avg(j) < 0.5 AS unstable FROM j GROUP BY bucket")
+@query(f"WITH {FACTS}, st AS (SELECT feed AS bucket, day, list_sort(list(DISTINCT story)) AS v FROM facts GROUP BY ALL), p AS (SELECT bucket, v, lag(v) OVER (PARTITION BY bucket ORDER BY day) AS b FROM st), j AS (SELECT bucket, len(list_intersect(v, b)) / len(list_distinct(list_concat(v, b))) AS j FROM p WHERE b IS NOT NULL) SELECT bucket, round(avg(j), 6) AS stability, count(*) AS n_pairs, avg(j) < 0.5 AS unstable FROM j GROUP BY bucket")
 def frame_set_stability(spark, sf_dir):
-    sets = facts(spark, sf_dir).filter("event_id % 5 = 0").groupBy("bucket", "day").agg(F.array_sort(F.collect_set("story")).alias("v"))
+    sets = facts(spark, sf_dir).groupBy(F.col("feed").alias("bucket"), "day").agg(F.array_sort(F.collect_set("story")).alias("v"))
     return S.set_stability(sets, ["bucket"], "day", "v").withColumn("stability", F.round("stability", 6))
 
 
@@ -127,18 +124,18 @@ def stub_share(spark, sf_dir):
     return s.groupBy("outlet").agg(n.alias("n"), F.round(100.0 * F.count_if("stub") / n, 4).alias("stub_pct"), (F.count_if("stub") >= 0.8 * n).alias("flagged"))
 
 
-@query(f"WITH {ARTICLES}, m AS (SELECT *, regexp_matches(lower(left(body, 1500)), '\\bwith\\b') AS hit FROM articles) SELECT outlet, CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS n_matching, min(CASE WHEN hit THEN doc_id + 1 END) AS first_match_rank, arg_min(CASE WHEN hit THEN length(body) END, CASE WHEN hit THEN doc_id END) AS first_match_n_chars FROM m GROUP BY outlet")
+@query(f"WITH {ARTICLES}, m AS (SELECT *, regexp_matches(lower(body), '\\bwith\\b') AS hit FROM articles) SELECT outlet, CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS n_matching, min(CASE WHEN hit THEN doc_id + 1 END) AS first_match_rank, arg_min(CASE WHEN hit THEN length(body) END, CASE WHEN hit THEN doc_id END) AS first_match_n_chars FROM m GROUP BY outlet")
 def first_matches(spark, sf_dir):
-    a = articles(spark, sf_dir).withColumn("hit", F.lower(F.left("body", F.lit(1500))).rlike(r"\bwith\b")).withColumn("n_chars", F.length("body").cast("long"))
+    a = articles(spark, sf_dir).withColumn("hit", F.lower("body").rlike(r"\bwith\b")).withColumn("n_chars", F.length("body").cast("long"))
     return C.first_matches(a, "outlet", "doc_id", "hit", ["n_chars"])
 
 
-@query(f"""WITH {FACTS}, m AS (SELECT DISTINCT story, bucket FROM facts WHERE event_id % 97 = 0), o AS (SELECT bucket, sum(value) < 0 AS failed FROM facts WHERE bucket <> 'b7' GROUP BY 1), g AS (SELECT * FROM (SELECT DISTINCT story FROM facts) CROSS JOIN (SELECT DISTINCT bucket FROM facts))
+@query(f"""WITH {FACTS}, m AS (SELECT DISTINCT story, bucket FROM facts WHERE value > 260), o AS (SELECT bucket, sum(value) < 0 AS failed FROM facts WHERE bucket <> 'b7' GROUP BY 1), g AS (SELECT * FROM (SELECT DISTINCT story FROM facts) CROSS JOIN (SELECT DISTINCT bucket FROM facts))
 SELECT g.story, g.bucket, CASE WHEN m.story IS NOT NULL THEN 'covered' WHEN failed THEN 'errored' WHEN failed IS NOT NULL THEN 'silent' ELSE 'dark' END AS state FROM g LEFT JOIN m ON g.story = m.story AND g.bucket = m.bucket LEFT JOIN o ON o.bucket = g.bucket""")
 def coverage_matrix(spark, sf_dir):
     f = facts(spark, sf_dir)
     observed = f.filter("bucket <> 'b7'").groupBy("bucket").agg((F.sum("value") < 0).alias("failed"))
-    return C.matrix(f, f, f.filter("event_id % 97 = 0"), observed)
+    return C.matrix(f, f, f.filter("value > 260"), observed)
 
 
 @query(f"WITH {FACTS} SELECT story, count(DISTINCT bucket) AS n_buckets, count(DISTINCT feed) AS n_feeds, list_sort(list(value))[count(*) // 2 + 1] AS upper_median FROM facts GROUP BY story")
@@ -148,11 +145,11 @@ def coverage_summary(spark, sf_dir):
     return n.join(C.upper_median(f, ["story"], "value"), "story")
 
 
-@query(f"WITH {FACTS}, d AS (SELECT bucket, day, count(*) AS n FROM facts WHERE event_id % 50 = 0 GROUP BY ALL), g AS (SELECT * FROM (SELECT DISTINCT bucket FROM facts) CROSS JOIN (SELECT DISTINCT day FROM facts)) SELECT g.bucket, CAST(sum(CASE WHEN d.n IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_days, round(sum(coalesce(d.n, 0)) / count(*), 6) AS mean_volume FROM g LEFT JOIN d USING (bucket, day) GROUP BY g.bucket")
+@query(f"WITH {FACTS}, d AS (SELECT feed AS bucket, day, count(*) AS n FROM facts GROUP BY ALL), g AS (SELECT * FROM (SELECT DISTINCT feed AS bucket FROM facts) CROSS JOIN (SELECT DISTINCT day FROM facts)) SELECT g.bucket, CAST(sum(CASE WHEN d.n IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_days, round(sum(coalesce(d.n, 0)) / count(*), 6) AS mean_volume FROM g LEFT JOIN d USING (bucket, day) GROUP BY g.bucket")
 def zero_days(spark, sf_dir):
     f = facts(spark, sf_dir)
     days = f.agg(F.count_distinct("day").alias("d"))
-    n = f.groupBy("bucket").agg(F.count_distinct(F.when(F.col("event_id") % 50 == 0, F.col("day"))).alias("seen"), F.count_if(F.col("event_id") % 50 == 0).alias("n"))
+    n = f.groupBy(F.col("feed").alias("bucket")).agg(F.count_distinct("day").alias("seen"), F.count(F.lit(1)).alias("n"))
     return n.crossJoin(days).select("bucket", (F.col("d") - F.col("seen")).alias("zero_days"), F.round(F.col("n") / F.col("d"), 6).alias("mean_volume"))
 
 
@@ -199,22 +196,24 @@ def syndicated_titles(spark, sf_dir):
 _SITE = "regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]*)', 1)), '^(?:www\\.)?(?:m\\.)?', '') || regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/+$', '')"
 
 
-@query(f"WITH p AS (SELECT page_id, {_SITE} AS u, regexp_extract(url, '^https?://[^/?#]*/([^/?#]+)', 1) AS cat FROM pages), f AS (SELECT DISTINCT u FROM p WHERE page_id % 2 = 0), s AS (SELECT DISTINCT u, cat FROM p WHERE page_id % 3 = 0), m AS (SELECT cat, count(*) AS n FROM s WHERE u NOT IN (SELECT u FROM f) GROUP BY 1) SELECT cat AS category, n AS n_missing, row_number() OVER (ORDER BY n DESC, cat) AS rank FROM m ORDER BY n DESC, cat LIMIT 10")
+@query(f"WITH p AS (SELECT url, {_SITE} AS u, regexp_extract(url, '^https?://[^/?#]*/([^/?#]+)', 1) AS cat FROM pages), f AS (SELECT DISTINCT u FROM p WHERE url LIKE 'http://%'), s AS (SELECT DISTINCT u, cat FROM p WHERE url LIKE 'https://%'), m AS (SELECT cat, count(*) AS n FROM s WHERE u NOT IN (SELECT u FROM f) GROUP BY 1) SELECT cat AS category, n AS n_missing, row_number() OVER (ORDER BY n DESC, cat) AS rank FROM m ORDER BY n DESC, cat LIMIT 10")
 def sitemap_gaps(spark, sf_dir):
     from ..functions import urls
 
     u = F.concat(urls.site(F.col("url")), F.regexp_replace(urls.path(F.col("url")), "/+$", ""))
-    p = read(spark, sf_dir, "pages").select("page_id", u.alias("u"), urls.category(F.col("url")).alias("category"))
-    missing = p.filter("page_id % 3 = 0").select("u", "category").distinct().join(p.filter("page_id % 2 = 0").select("u"), "u", "left_anti")
+    p = read(spark, sf_dir, "pages").select(urls.scheme(F.col("url")).alias("scheme"), u.alias("u"), urls.category(F.col("url")).alias("category"))
+    missing = p.filter("scheme = 'https'").select("u", "category").distinct().join(p.filter("scheme = 'http'").select("u"), "u", "left_anti")
     n = missing.groupBy("category").agg(F.count(F.lit(1)).alias("n_missing"))
     top = n.orderBy(F.desc("n_missing"), "category").limit(10)
     return top.withColumn("rank", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(F.desc("n_missing"), "category")).cast("long"))
 
 
-@query("WITH a AS (SELECT DISTINCT url FROM pages WHERE page_id % 2 = 0), b AS (SELECT DISTINCT url FROM pages WHERE page_id % 3 = 0) SELECT 'both' AS side, url FROM (SELECT url FROM a INTERSECT SELECT url FROM b) UNION ALL SELECT 'first', url FROM (SELECT url FROM a EXCEPT SELECT url FROM b) UNION ALL SELECT 'second', url FROM (SELECT url FROM b EXCEPT SELECT url FROM a)")
+@query(r"WITH h AS (SELECT regexp_extract(url, '^(https?)://', 1) AS sc, regexp_replace(regexp_extract(url, '^https?://([^/?#]*)', 1), '^(?:www|m|blog)\.', '') AS url FROM pages), a AS (SELECT DISTINCT url FROM h WHERE sc = 'http'), b AS (SELECT DISTINCT url FROM h WHERE sc = 'https') SELECT 'both' AS side, url FROM (SELECT url FROM a INTERSECT SELECT url FROM b) UNION ALL SELECT 'first', url FROM (SELECT url FROM a EXCEPT SELECT url FROM b) UNION ALL SELECT 'second', url FROM (SELECT url FROM b EXCEPT SELECT url FROM a)")
 def set_differences(spark, sf_dir):
-    p = read(spark, sf_dir, "pages")
-    a, b = p.filter("page_id % 2 = 0").select("url"), p.filter("page_id % 3 = 0").select("url")
+    from ..functions import urls
+
+    p = read(spark, sf_dir, "pages").select(urls.scheme(F.col("url")).alias("sc"), F.regexp_replace(urls.host(F.col("url")), r"^(?:www|m|blog)\.", "").alias("url"))
+    a, b = p.filter("sc = 'http'").select("url"), p.filter("sc = 'https'").select("url")
     parts = (("both", a.intersect(b)), ("first", a.subtract(b)), ("second", b.subtract(a)))
     out = None
     for name, part in parts:

@@ -59,7 +59,7 @@ def wire_baseline(spark, sf_dir):
     return T.persistent_baseline(wire, "day", X.bigrams(F.col("w")))
 
 
-_TILT = f"""{ARTICLES}, {_WORDS}, {_BIG}, own AS (SELECT bucket, term, count(*) AS n FROM big WHERE bucket IN ('src3', 'src4', 'src5') GROUP BY ALL), base AS (SELECT term, count(*) AS n FROM big WHERE bucket IN ('src1', 'src2') GROUP BY ALL),
+_TILT = f"""{ARTICLES}, {_WORDS}, {_BIG}, own AS (SELECT bucket, term, count(*) AS n FROM big WHERE bucket NOT IN ('src1', 'src2') GROUP BY ALL), base AS (SELECT term, count(*) AS n FROM big WHERE bucket IN ('src1', 'src2') GROUP BY ALL),
 tot AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS total_a FROM own GROUP BY 1), bt AS (SELECT CAST(sum(n) AS BIGINT) AS total_b FROM base),
 k AS (SELECT bucket, term FROM own WHERE n >= 2 UNION SELECT bucket, term FROM tot CROSS JOIN base WHERE n >= 2),
 j AS (SELECT k.bucket, k.term, coalesce(own.n, 0) AS a, coalesce(base.n, 0) AS b, total_a, total_b FROM k LEFT JOIN own USING (bucket, term) LEFT JOIN base USING (term) JOIN tot USING (bucket) CROSS JOIN bt),
@@ -69,7 +69,7 @@ t AS (SELECT bucket, term, a, b, round({LOG_ODDS}, 6) AS log_odds, round({Z}, 6)
 def _tilt(spark, sf_dir):
     a = _words(spark, sf_dir)
     grams = X.bigrams(F.col("w"))
-    own = T.counts(a.filter(F.col("bucket").isin("src3", "src4", "src5")), ["bucket"], grams)
+    own = T.counts(a.filter(~F.col("bucket").isin("src1", "src2")), ["bucket"], grams)
     wire = T.counts(a.filter(F.col("bucket").isin("src1", "src2")), ["bucket"], grams).groupBy("term").agg(F.sum("n").alias("n"))
     return T.tilt(own, wire, "bucket")
 

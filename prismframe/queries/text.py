@@ -98,9 +98,9 @@ def framing_lexicon(spark, sf_dir):
     return hits.unpivot(["country", "n"], list(X.FRAMING), "label", "hits").select("country", "label", "hits", F.round(1000.0 * F.col("hits") / F.col("n"), 4).alias("per_1000"))
 
 
-@query(f"""WITH {ARTICLES} SELECT outlet, count(*) AS n, CAST(sum(CASE WHEN regexp_matches(lower(left(body, 1500)), '(?:\\bthe\\b)|(?:\\bder\\b)') AND NOT regexp_matches(lower(left(body, 1500)), '(?:idiot)|(?:\\bclown\\b)') THEN 1 ELSE 0 END) AS BIGINT) AS n_matching FROM articles GROUP BY outlet""")
+@query(f"""WITH {ARTICLES} SELECT outlet, count(*) AS n, CAST(sum(CASE WHEN regexp_matches(lower(body), '(?:\\bthe\\b)|(?:\\bder\\b)') AND NOT regexp_matches(lower(body), '(?:idiot)|(?:\\bclown\\b)') THEN 1 ELSE 0 END) AS BIGINT) AS n_matching FROM articles GROUP BY outlet""")
 def pattern_matches(spark, sf_dir):
-    hit = X.matches(F.left("body", F.lit(1500)), [r"\bthe\b", r"\bder\b"], ["idiot", r"\bclown\b"])
+    hit = X.matches(F.col("body"), [r"\bthe\b", r"\bder\b"], ["idiot", r"\bclown\b"])
     return articles(spark, sf_dir).groupBy("outlet").agg(F.count(F.lit(1)).alias("n"), F.count_if(hit).alias("n_matching"))
 
 

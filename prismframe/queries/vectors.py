@@ -114,12 +114,11 @@ def story_top_words(spark, sf_dir):
     return S.top_k(t, ["story"], [F.desc("n"), F.col("term")], 10).select("story", "term", "n", F.col("rank").cast("long").alias("rank"))
 
 
-_MEMBERS = f"{FACTS}, members AS (SELECT DISTINCT day, story || '-' || CAST(event_id % 3 AS VARCHAR) AS cluster_id, feed AS article_id FROM facts WHERE feed % 3 = event_id % 3)"
+_MEMBERS = f"{FACTS}, members AS (SELECT DISTINCT day, story || '-' || CAST(feed % 7 AS VARCHAR) AS cluster_id, feed AS article_id FROM facts)"
 
 
 def _members(spark, sf_dir):
-    f = facts(spark, sf_dir).filter(F.col("feed") % 3 == F.col("event_id") % 3)
-    return f.select("day", F.concat("story", F.lit("-"), (F.col("event_id") % 3).cast("string")).alias("cluster_id"), F.col("feed").alias("article_id")).distinct()
+    return facts(spark, sf_dir).select("day", F.concat("story", F.lit("-"), (F.col("feed") % 7).cast("string")).alias("cluster_id"), F.col("feed").alias("article_id")).distinct()
 
 
 _LINKS = f"""{_MEMBERS}, d AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev_day FROM (SELECT DISTINCT day FROM members)), s AS (SELECT day, cluster_id, count(*) AS n FROM members GROUP BY ALL),
@@ -149,10 +148,10 @@ def briefing_novelty(spark, sf_dir):
     return ST.novel_articles(a, ["story", "outlet"], "w", "level", "n", "doc_id")
 
 
-@query(f"""WITH {ARTICLES}, p AS (SELECT DISTINCT story, country FROM articles WHERE doc_id % 11 < 4), n AS (SELECT country, count(*) AS n FROM p GROUP BY 1) SELECT x.country AS a, y.country AS b, count(*) AS "both", round(count(*) / (max(na.n) + max(nb.n) - count(*)), 6) AS jaccard
+@query(f"""WITH {ARTICLES}, p AS (SELECT DISTINCT left(title, 6) AS story, country FROM articles), n AS (SELECT country, count(*) AS n FROM p GROUP BY 1) SELECT x.country AS a, y.country AS b, count(*) AS "both", round(count(*) / (max(na.n) + max(nb.n) - count(*)), 6) AS jaccard
 FROM p x JOIN p y ON x.story = y.story AND x.country < y.country JOIN n na ON na.country = x.country JOIN n nb ON nb.country = y.country GROUP BY ALL""")
 def country_co_presence(spark, sf_dir):
-    p = articles(spark, sf_dir).filter("doc_id % 11 < 4")
+    p = articles(spark, sf_dir).withColumn("story", F.left("title", F.lit(6)))
     return ST.co_presence(p, "story", "country").withColumn("jaccard", F.round("jaccard", 6))
 
 
@@ -162,14 +161,14 @@ def silence_audit(spark, sf_dir):
     return ST.coverage_absence(p, "story", "bucket", 8)
 
 
-@query(f"""WITH {FACTS}, s AS (SELECT day, story, list_sort(list(DISTINCT bucket)) AS who FROM facts WHERE event_id % 4 = 0 GROUP BY ALL) SELECT day, story, CAST(len(who) AS BIGINT) AS n, list_has_all(who, ['b1', 'b2']) AS consensus, list_has_all(['b1', 'b2', 'b3', 'b4'], who) AS exclusive,
+@query(f"""WITH {FACTS}, s AS (SELECT date_trunc('hour', ts) AS hour, story, list_sort(list(DISTINCT bucket)) AS who FROM facts GROUP BY ALL) SELECT CAST(hour AS TIMESTAMP) AS hour, story, CAST(len(who) AS BIGINT) AS n, list_has_all(who, ['b1', 'b2']) AS consensus, list_has_all(['b1', 'b2', 'b3', 'b4'], who) AS exclusive,
 CAST(len(list_filter(['b1', 'b2', 'b3'], lambda b: NOT list_contains(who, b))) AS BIGINT) AS n_missing FROM s""")
 def consensus_sets(spark, sf_dir):
-    s = facts(spark, sf_dir).filter("event_id % 4 = 0").groupBy("day", "story").agg(F.collect_set("bucket").alias("who"))
+    s = facts(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "story").agg(F.collect_set("bucket").alias("who"))
     def every(of, within):
         return F.size(F.array_except(of, within)) == 0
     pair, four, three = (F.array(*[F.lit(f"b{i}") for i in range(1, k)]) for k in (3, 5, 4))
-    return s.select("day", "story", F.size("who").cast("long").alias("n"), every(pair, F.col("who")).alias("consensus"), every(F.col("who"), four).alias("exclusive"), F.size(F.array_except(three, "who")).cast("long").alias("n_missing"))
+    return s.select("hour", "story", F.size("who").cast("long").alias("n"), every(pair, F.col("who")).alias("consensus"), every(F.col("who"), four).alias("exclusive"), F.size(F.array_except(three, "who")).cast("long").alias("n_missing"))
 
 
 @query(f"""WITH {ARTICLES}, p AS (SELECT country, story, count(*) AS n FROM articles GROUP BY ALL), x AS (SELECT *, row_number() OVER (PARTITION BY left(story, 2) ORDER BY n DESC, country, story) AS r FROM p) SELECT country, story, n FROM x WHERE r = 1""")
