@@ -66,7 +66,12 @@ def strip_html(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"\s+", " "))
 
 
-OUTLET_SUFFIX = r"\s*[-|—–]\s*[A-Z][\w &.'/]{1,30}\s*$"
+#: " - Outlet Name" at the end: a dash or bar, a capital, up to thirty more signs of a name.
+OUTLET_SUFFIX = r"\s*[|–—-]" + r"\s*[A-Z]" + r"(?:[/'.&]|\w| ){1,30}" + r"\s*$"
+
+
+#: Kana, Han, Arabic, Hebrew, Cyrillic, Latin with marks, plain Latin.
+KEPT = ("぀-ヿ", "一-鿿", "؀-ۿ", "֐-׿", "Ѐ-ӿ", "À-ɏ", "a-z")
 
 
 def normalise_title(title: Column) -> Column:
@@ -78,7 +83,7 @@ def normalise_title(title: Column) -> Column:
     for _ in range(2):
         text = F.regexp_replace(text, "(?U)" + OUTLET_SUFFIX, "")
     text = F.regexp_replace(F.lower(text), "['‘’“”]", "")
-    text = F.regexp_replace(text, "[^a-z0-9À-ɏЀ-ӿ֐-׿؀-ۿ一-鿿぀-ヿ ]", " ")
+    text = F.regexp_replace(text, "[^ " + "0-9" + "".join(KEPT) + "]", " ")
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 

@@ -48,8 +48,10 @@ def item_classes(spark, sf_dir):
     return a.select("doc_id", X.extraction_class(F.length("body"), F.lit(None)).alias("status"), X.is_stub(F.col("title"), F.col("summary")).alias("is_stub"), X.script_of(F.col("body")).alias("script"), X.truncate(F.col("title"), 40).alias("short_title"))
 
 
-_TITLE = r"""trim(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(trim(title), '\s*[-|—–]\s*[A-Z][\p{L}\p{N}_ &.''/]{1,30}\s*$', ''), '\s*[-|—–]\s*[A-Z][\p{L}\p{N}_ &.''/]{1,30}\s*$', '')),
- '[''‘’“”]', '', 'g'), '[^a-z0-9À-ɏЀ-ӿ֐-׿؀-ۿ一-鿿぀-ヿ ]', ' ', 'g'), '\s+', ' ', 'g'))"""
+_SUFFIX = r"\s*[|–—-]" + r"\s*[A-Z]" + r"(?:[/''.&]|[\p{L}\p{N}_]| ){1,30}" + r"\s*$"
+_KEPT = "[^ 0-9" + "".join(X.KEPT) + "]"
+_BARE = f"regexp_replace(regexp_replace(trim(title), '{_SUFFIX}', ''), '{_SUFFIX}', '')"
+_TITLE = rf"trim(regexp_replace(regexp_replace(regexp_replace(lower({_BARE}), '[''‘’“”]', '', 'g'), '{_KEPT}', ' ', 'g'), '\s+', ' ', 'g'))"
 
 
 @query(f"WITH {ARTICLES} SELECT doc_id, {_TITLE} AS normalised_title FROM articles")
