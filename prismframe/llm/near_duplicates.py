@@ -1,17 +1,14 @@
-"""N-gram Jaccard join by parity sketches.
-
-A document is the set of its word n-grams. A parity sketch flips one bit per n-gram, so shared n-grams cancel and the
-Hamming distance of two sketches is at most the size of the sets' symmetric difference. Jaccard >= t bounds that by
-``(1-t)/(1+t) * (|A|+|B|)``; with sizes in bands, each band has its own bound ``k`` and its own sketch, cut into parts.
-More parts than differences leave an equal part (pigeonhole), and documents meet where a part is equal. Up to
-``ALL_PARTS`` parts a sketch has ``k + 1`` parts and all are joined, which misses no pair. Larger sets have a part for
-every ``TOKENS_A_PART`` n-grams, of which the first ``ALL_PARTS`` with at least ``LEAST_TOKENS`` are joined: hashing
-spreads the differences, so at similarity 0.6 an expected six of these are equal, and all miss 1 pair in 300.
-
-Parts are long (2^20 bits) and stored as the hash of their set bits. Where many documents share a part, each is compared
-with the first and with the one before it in order of size: a chain instead of all pairs, so the work stays linear in
-the parts however large a group of copies is. Every comparison is then verified by the exact Jaccard similarity, and
-verified pairs are closed to groups by alternating large-star and small-star steps.
+"""N-gram Jaccard join by prefixes: every pair at or above the threshold, none below.
+
+A document is the set of its word n-grams. Jaccard >= t means at least ``ceil(t * n)`` shared n-grams, so in any order of
+all n-grams that both sets follow, the first ``n - ceil(t * n) + 1`` of each share one. The order is by frequency, rare
+first: documents meet at their rarest n-grams, and what many share is at the end, where it is seldom a key. Frequencies
+come from one table of counters, so they may be too high, which costs time but never a pair; an n-gram counted once is
+in no other document and is left out.
+
+Documents that share a key are all compared, by size and by what is left after the key: too few n-grams for the
+threshold rule a pair out exactly. Every pair left is verified by its exact Jaccard similarity. Equal sets are one node
+until the end. Verified pairs are the join; for the pipeline they close to groups by large-star and small-star steps.
 """
 
 from __future__ import annotations
@@ -31,8 +28,10 @@ from .text_arrays import WORD_BYTES, Texts, mix
 
 #: At 0.6 a short text with one line added is still a copy; texts that share no origin stay below 0.4.
 THRESHOLD, NGRAM = 0.6, 2
-ALL_PARTS, TOKENS_A_PART, LEAST_TOKENS = 40, 3, 2
-PART_BITS = 20
+#: Counters of n-grams, a byte each, and how many of them travel in a row.
+COUNTERS, CHUNK = 1 << 27, 1 << 20
+#: Pairs that are kept before repeats among them are dropped, and pairs that one task verifies, about.
+HELD, TILE_PAIRS = 1 << 20, 100_000
 SLICE = 1 << 20
 
 
@@ -58,77 +57,194 @@ def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
         at = to
 
 
-def band(size: int, t: float) -> int:
-    """Bands grow by 1/t, so a pair's sizes lie in one band or in neighbours."""
-    return int(math.floor(math.log(size) / -math.log(t) + 1e-9))
+def _slots(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(COUNTERS - 1)).astype(np.int64)
 
 
-def band_parts(c: int, t: float) -> tuple[int, bool]:
-    """(number of parts of the band's sketch, whether all are joined)."""
-    largest = math.ceil((1 / t) ** (c + 1) - 1e-9)
-    k = math.floor((1 - t) / (1 + t) * 2 * largest + 1e-9)
-    if k + 1 <= ALL_PARTS:
-        return k + 1, True
-    return max(ALL_PARTS, -(-largest // TOKENS_A_PART)), False
+def prefix(grams: np.ndarray, t: float, counters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, their positions): the prefix of a set in order of frequency, without n-grams that no other document holds."""
+    n = len(grams)
+    least = n - math.ceil(t * n - 1e-9) + 1
+    count = np.zeros(n, np.uint64) if counters is None else counters[_slots(grams)].astype(np.uint64)
+    # the count, then the hash: of one count the top bits decide, and equal ones keep the order of the hash
+    order = np.argsort((count << np.uint64(56)) | (grams >> np.uint64(8)), kind="stable")[:least]
+    at = np.arange(least) if counters is None else np.flatnonzero(count[order] > 1)
+    return grams[order[at]], at
 
 
 def part_keys(grams: np.ndarray, t: float) -> np.ndarray:
-    """Keys of the sketch parts that a set is joined by, in its own band and, as a smaller partner, the next."""
-    size, keys = len(grams), []
-    for c in range(band(size, t), band(math.floor(size / t + 1e-9), t) + 1):
-        parts, exact = band_parts(c, t)
-        bits = grams % np.uint64(parts << PART_BITS)
-        part = (bits >> np.uint64(PART_BITS)).astype(np.int64)
-        if parts > ALL_PARTS:
-            used = part < ALL_PARTS
-            bits, part = bits[used], part[used]
-        count = np.bincount(part, minlength=min(parts, ALL_PARTS))
-        order = np.argsort(part, kind="stable")
-        content = np.zeros(len(count), np.uint64)
-        full = np.flatnonzero(count)
-        if len(full):
-            content[full] = np.bitwise_xor.reduceat(mix(bits[order]), np.concatenate([[0], np.cumsum(count[full])[:-1]]))
-        chosen = np.arange(len(count)) if exact else np.flatnonzero(count >= LEAST_TOKENS)
-        keys.append(mix(content[chosen] ^ mix((np.uint64(c) << np.uint64(32)) + chosen.astype(np.uint64) + np.uint64(1))))
-    return np.concatenate(keys)
-
-
-def _sketches(docs: DataFrame, t: float, n: int) -> DataFrame:
-    """id, size, two signatures of the whole set, keys. Texts without words are left out."""
-    schema = T.StructType([T.StructField("id", docs.schema["id"].dataType), *[T.StructField(c, T.LongType()) for c in ("size", "s1", "s2")], T.StructField("keys", T.ArrayType(T.LongType()))])
+    """Keys that a set is joined by when no frequencies are known."""
+    return prefix(grams, t)[0]
 
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _node(grams: np.ndarray) -> int:
+    """One number for a set: equal sets are one node."""
+    return int(mix(np.array([np.bitwise_xor.reduce(grams) ^ mix(np.array([np.bitwise_xor.reduce(mix(grams + np.uint64(77)))], np.uint64))[0]], np.uint64)).view(np.int64)[0])
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, CHUNK, "zstd", asbytes=True), np.uint8)
+
+
+def _counted(docs: DataFrame, n: int) -> tuple[DataFrame, list[tuple[int, bytes]]]:
+    """(id, node) of every text with words, and how many texts hold the n-grams of each counter, 255 at most, by chunk."""
+    schema = T.StructType([T.StructField("id", docs.schema["id"].dataType), T.StructField("node", T.LongType()), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    id_type = docs.select("id").limit(0).toArrow().schema.field(0).type
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(COUNTERS, np.uint8)
         for batch in rows:
-            at, size, s1, s2, keys = [], [], [], [], []
+            at, node, held, size = [], [], [], 0
             for i, grams in enumerate(gram_sets(batch.column(1), n)):
                 if len(grams):
                     at.append(i)
-                    size.append(len(grams))
-                    s1.append(int(np.bitwise_xor.reduce(grams).view(np.int64)))
-                    s2.append(int(np.bitwise_xor.reduce(mix(grams + np.uint64(77))).view(np.int64)))
-                    keys.append(part_keys(grams, t).view(np.int64))
-            lengths = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            values = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, pa.int32())), pa.array(size, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), values)],
-                names=schema.names,
-            )
+                    node.append(_node(grams))
+                    held.append(_slots(grams))
+                    size += len(grams)
+                if held and (size >= HELD or i == len(batch) - 1):
+                    slot, times = np.unique(np.concatenate(held), return_counts=True)
+                    found[slot] = np.minimum(found[slot] + times, 255)
+                    held, size = [], 0
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(node, pa.int64()), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())], names=schema.names)
+        for i in range(COUNTERS // CHUNK):
+            part = found[i * CHUNK : (i + 1) * CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.array([i], pa.int32()), pa.array([_packed(part)], pa.binary())], names=schema.names)
+
+    def merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in rows:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part, before = _unpacked(data), sums.get(chunk)
+                sums[chunk] = part if before is None else np.minimum(before.astype(np.uint16) + part, 255).astype(np.uint8)
+        for chunk, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([_packed(counts)], pa.binary())], names=["chunk", "counts"])
+
+    both = cut(docs.mapInArrow(count, schema))
+    merged = both.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(merge, "chunk int, counts binary")
+    return both.filter("chunk IS NULL").select("id", "node"), [(r.chunk, bytes(r.counts)) for r in merged.collect()]
+
+
+def _lists(arrays: list[np.ndarray], dtype: type) -> pa.ListArray:
+    lengths = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(arrays).astype(dtype, copy=False) if arrays else np.zeros(0, dtype)))
+
+
+def _keys(docs: DataFrame, counts: list[tuple[int, bytes]], t: float, n: int) -> DataFrame:
+    """key, size, node, place of the key. Copies of a text give their keys once a partition."""
+    names = ["key", "size", "node", "place"]
+    packed = docs.sparkSession.sparkContext.broadcast(counts)
 
-    return docs.mapInArrow(batches, schema)
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, seen = np.zeros(COUNTERS, np.uint8), set()
+        for chunk, data in packed.value:
+            counters[chunk * CHUNK : (chunk + 1) * CHUNK] = _unpacked(data)
+        for batch in rows:
+            node, size, keys, places = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for grams in gram_sets(batch.column(1), n):
+                if len(grams) and (x := _node(grams)) not in seen:
+                    seen.add(x)
+                    key, place = prefix(grams, t, counters)
+                    node.append(np.full(len(key), x))
+                    size.append(np.full(len(key), len(grams), np.int32))
+                    keys.append(key)
+                    places.append(place)
+            columns = [np.concatenate(keys).view(np.int64), np.concatenate([np.zeros(0, np.int32), *size]), np.concatenate([np.zeros(0, np.int64), *node]), np.concatenate(places).astype(np.int32)]
+            for i in range(0, len(columns[0]), SLICE):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + SLICE]) for c in columns], names=names)
+
+    return docs.mapInArrow(batches, "key long, size int, node long, place int")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """id, grams (32 bits of each, distinct)."""
-    schema = T.StructType([T.StructField("id", docs.schema["id"].dataType), T.StructField("grams", T.ArrayType(T.IntegerType()))])
+    """node, grams (distinct). Copies of a text come once a partition."""
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in rows:
+            found = {x: g for g in gram_sets(batch.column(1), n) if len(g) and (x := _node(g)) not in seen}
+            seen.update(found)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), _lists([g.view(np.int64) for g in found.values()], np.int64)], names=["node", "grams"])
+
+    return docs.mapInArrow(batches, "node long, grams array<long>")
+
+
+def _meetings(meet: DataFrame, t: float) -> DataFrame:
+    """(a, b) of nodes that share a key and may reach ``t`` by their sizes and what follows the key. Pairs may repeat."""
+
+    def of(key: np.ndarray, size: np.ndarray, node: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        once = np.ones(len(key), bool)  # copies from several partitions stand side by side
+        once[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, size, node, place = (c[once] for c in (key, size, node, place))
+        found, held, lag = [], 0, 0
+        x = np.arange(len(key))
+        while len(x):
+            lag += 1
+            x = x[x + lag < len(key)]
+            y = x + lag
+            near = (key[x] == key[y]) & (size[x] >= size[y] * t - 1e-6)  # in order of size: who is too large stays so
+            x, y = x[near], y[near]
+            most = 1 + np.minimum(size[x] - place[x], size[y] - place[y]) - 1
+            ok = (most >= t / (1 + t) * (size[x] + size[y]) - 1e-6) & (node[x] != node[y])
+            found.append(np.stack([np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]]))
+            held += int(ok.sum())
+            if held > HELD or not len(x):
+                pairs = np.concatenate(found, 1)
+                pairs = pairs[:, np.lexsort((pairs[1], pairs[0]))]
+                new = np.ones(pairs.shape[1], bool)
+                new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(0)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs[:, new]], names=["a", "b"])
+                found, held = [], 0
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[list[np.ndarray]] = []
+        many = 0
         for batch in rows:
-            found = [np.unique((g >> np.uint64(32)).astype(np.uint32)).view(np.int32) for g in gram_sets(batch.column(1), n)]
-            lengths = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            values = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(lengths), values)], names=schema.names)
+            kept.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
+            many += len(batch)
+            if many >= HELD and kept[0][0][0] != kept[-1][0][-1]:
+                now = [np.concatenate(c) for c in zip(*kept, strict=True)]
+                end = int(np.flatnonzero(now[0] != now[0][-1])[-1]) + 1  # the last key may go on
+                yield from of(*[c[:end] for c in now])
+                kept, many = [[c[end:] for c in now]], len(now[0]) - end
+        if many:
+            yield from of(*[np.concatenate(c) for c in zip(*kept, strict=True)])
 
-    return docs.mapInArrow(batches, schema)
+    ordered = meet.repartition("key").sortWithinPartitions("key", "size", "node")
+    return ordered.mapInArrow(batches, "a long, b long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """``pairs`` (a, b) of nodes with their exact ``jaccard``, where it is ``t`` or more.
+
+    A pair goes to the tile of the least node next to its first: copies of one text meet in one tile and a set travels
+    once, not once a pair. Tiles of more than ``TILE_PAIRS`` pairs are split by both nodes.
+    """
+    least = pairs.select("a", F.col("a").alias("x")).unionByName(pairs.select("a", F.col("b").alias("x"))).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("x")))
+    label = least.groupBy("a").agg(F.min("x").alias("label"))
+    labelled = pairs.join(label, "a")
+    sizes = labelled.groupBy("label").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / TILE_PAIRS)).alias("side"))
+    tile = F.xxhash64("label", F.pmod(F.xxhash64("a"), "side"), F.pmod(F.xxhash64("b"), "side"))
+    tiled = cut(labelled.join(sizes, "label").select(tile.alias("tile"), "a", "b"))
+    needed = tiled.select("tile", F.col("a").alias("node")).unionByName(tiled.select("tile", F.col("b").alias("node"))).distinct().join(sets, "node").select(F.col("tile").alias("at"), "node", "grams")
+
+    def verify(left: pa.Table, right: pa.Table) -> pa.Table:
+        grams = right.column("grams").combine_chunks()
+        flat, ends = grams.values.to_numpy(), grams.offsets.to_numpy()
+        held = {x: flat[ends[i] : ends[i + 1]].view(np.uint64) for i, x in enumerate(right.column("node").to_pylist())}
+        a, b = left.column("a").to_pylist(), left.column("b").to_pylist()
+        out = np.zeros(len(a))
+        for i, (x, y) in enumerate(zip(a, b, strict=True)):
+            both = np.sort(np.concatenate([held[x], held[y]]), kind="stable")  # two sorted runs are merged
+            shared = int((both[1:] == both[:-1]).sum())
+            out[i] = shared / (len(both) - shared)
+        return pa.table({"a": left.column("a"), "b": left.column("b"), "jaccard": pa.array(out)}).filter(pa.array(out >= t))
+
+    return tiled.groupBy("tile").cogroup(needed.groupBy("at")).applyInArrow(verify, "a long, b long, jaccard double")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -149,27 +265,39 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("group_id")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("group_id")).distinct())
 
 
+def _joined(docs: DataFrame, t: float, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of ``docs`` (id, text): (id, node) of every text with words, (node, first) with the least id, and pairs of nodes."""
+    docs = docs.filter("id IS NOT NULL AND text IS NOT NULL")
+    members, counts = _counted(docs, n)
+    # equal sets collapse by aggregation, which combines map-side: a text with millions of copies is no hot task
+    nodes = members.groupBy("node").agg(F.min("id").alias("first"))
+    pairs = cut(_meetings(_keys(docs, counts, t, n), t).distinct())
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    held = nodes.join(wanted, "node", "left_semi").select(F.col("first").alias("id")).distinct()
+    sets = _sets(docs.join(held, "id", "left_semi"), n)
+    return members.distinct(), nodes, cut(_verified(pairs, cut(sets), t))
+
+
 def verified_pairs(docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM) -> tuple[DataFrame, DataFrame]:
     """Of ``docs`` (id, text): (equal sets linked to their least id, verified pairs with ``jaccard``), both as (a, b)."""
-    sketches = _sketches(docs.filter("id IS NOT NULL AND text IS NOT NULL"), threshold, n)
-    sketches = cut(sketches)
-    # equal sets collapse by aggregation, which combines map-side: a text with millions of copies is no hot task
-    whole = ["s1", "s2", "size"]
-    firsts = sketches.groupBy(*whole).agg(F.min("id").alias("first"), F.first("keys").alias("keys"))
-    equal = cut(sketches.select("id", *whole).join(firsts.select("first", *whole), whole).filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
-    meet = firsts.select(F.col("first").alias("id"), F.col("size").cast("int").alias("size"), F.explode("keys").alias("key"))
-    order = W.partitionBy("key").orderBy("size", "id")
-    me = F.struct("size", "id")
-    links = meet.select(me.alias("y"), F.first(me).over(order).alias("x0"), F.lag(me).over(order).alias("x1")).filter("x1 IS NOT NULL")
-    pairs = links.select("y", F.explode(F.array("x0", "x1")).alias("x")).filter((F.col("x.id") != F.col("y.id")) & (F.col("x.size") >= F.col("y.size") * threshold))
-    pairs = cut(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets(docs.join(wanted, "id", "left_semi"), n)
-    sets = cut(sets)
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-    shared = F.size(F.array_intersect("ga", "gb"))
-    similar = both.select("a", "b", (shared / (F.size("ga") + F.size("gb") - shared)).alias("jaccard")).filter(F.col("jaccard") >= threshold)
-    return equal, similar
+    members, firsts, similar = _joined(docs, threshold, n)
+    equal = members.join(firsts, "node").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    a, b = firsts.select(F.col("node").alias("a"), F.col("first").alias("x")), firsts.select(F.col("node").alias("b"), F.col("first").alias("y"))
+    return equal, similar.join(a, "a").join(b, "b").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"), "jaccard")
+
+
+def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``a``, ``b``, ``jaccard``) of every two ids, a < b, whose texts reach ``threshold``; equal sets are pairs of 1.0.
+
+    Words as in ``near_duplicate_groups``. Of rows that share an id the most similar text counts. As many rows as there
+    are pairs: k copies of a text give k (k - 1) / 2.
+    """
+    members, _, similar = _joined(docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")), threshold, n)
+    x, y = members.select(F.col("node").alias("a"), F.col("id").alias("x")), members.select(F.col("node").alias("b"), F.col("id").alias("y"))
+    apart = similar.join(x, "a").join(y, "b").select("x", "y", "jaccard")
+    equal = x.join(y, F.col("a") == F.col("b")).filter("x < y").select("x", "y", F.lit(1.0).alias("jaccard"))
+    both = apart.unionByName(equal).filter("x <> y")
+    return both.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("jaccard").alias("jaccard"))
 
 
 def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

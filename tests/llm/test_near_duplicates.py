@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from prismframe.llm.near_duplicates import THRESHOLD, drop_near_duplicates, gram_sets, near_duplicate_groups, part_keys, verified_pairs
+from prismframe.llm.near_duplicates import THRESHOLD, drop_near_duplicates, gram_sets, near_duplicate_groups, part_keys, similar_pairs, verified_pairs
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -93,3 +93,18 @@ def test_edges(spark):
 def test_repeated_rows_stay_once(spark):
     df = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (2, "x"), (3, None), (3, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in drop_near_duplicates(df).collect()) == [1, 2, 3]
+
+
+def test_all_pairs_of_a_shared_passage(spark):
+    passage = [f"p{i}" for i in range(61)]
+    rows = [(i, " ".join(passage + [f"own{i}x{j}" for j in range(20 if i % 2 else 21)])) for i in range(40)]  # 80 and 81 grams, 60 of them shared: 0.6 for two of 80, below it for others
+    rows += [(100 + i, f"w{i} x y z") for i in range(8)] + [(200, "w1 x y z"), (201, rows[1][1])]
+    got = {(r.a, r.b): r.jaccard for r in similar_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == brute_pairs(rows)
+    assert len(got) == 21 * 20 // 2 + 1 and got[1, 3] == 0.6 and got[1, 201] == got[101, 200] == 1.0
+
+
+def test_pairs_against_brute_force(spark):
+    rows = corpus(3, 120)
+    got = similar_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len({(r.a, r.b) for r in got}) and {(r.a, r.b) for r in got} == brute_pairs(rows)
