@@ -330,4 +330,4 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int =
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return similar_pairs(table(spark, sf_dir, "documents"))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from prismframe.llm.near_duplicates import THRESHOLD, drop_near_duplicates, gram_sets, near_duplicate_groups, part_keys, similar_pairs, verified_pairs
+from prismframe.llm.near_duplicates import THRESHOLD, drop_near_duplicates, gram_sets, near_duplicate_groups, part_keys, query, similar_pairs, verified_pairs
 
 WORDS = [f"w{i}" for i in range(3000)]
 
@@ -108,3 +108,8 @@ def test_pairs_against_brute_force(spark):
     rows = corpus(3, 120)
     got = similar_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == len({(r.a, r.b) for r in got}) and {(r.a, r.b) for r in got} == brute_pairs(rows)
+
+
+def test_query_returns_the_pairs(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    assert {(r.a, r.b) for r in query(spark, "/root/testdata/sf0.001").collect()} == brute_pairs(rows)
