@@ -38,6 +38,12 @@ _CONTENT, _CHROME = frozenset(("article", "main")), frozenset(("nav", "footer",
 _CHROME_NAME = re.compile(r"(?i)(?:class|id)\s*=\s*[\"']?[^\"'>]*\b(?:ads?|advert\w*|banner|sidebar|menu|nav\w*|footer|cookie\w*|share|social|promo\w*|related|comments?)\b")
 _SPACE = re.compile(r"\s+")
 FEATURES = 8
+#: Elements whose end tag may be left out: the open ones that a start tag ends, and what they are looked for within.
+_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("thead", "tbody", "tr", "td", "th")}
+_SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "tbody": ("table",), "p": ("table", "td", "th", "button", "object")}
+_IN_HEAD = frozenset("html head title base link meta style script noscript template".split())
+#: Start tags that end an open paragraph.
+_ENDS_P = _BLOCKS - frozenset("br tr td th thead tbody title head body html".split()) | {"menu"}
 
 
 class Block:
@@ -53,11 +59,24 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, int, int]] = []  # tag, node number, hint
     text: list[str] = []
     linked = link_depth = nodes = at = 0
+    places: dict[str, list[int]] = {}  # where each tag is open on the stack
+
+    def pop_to(n: int) -> None:
+        while len(stack) > n:
+            places[stack.pop()[0]].pop()
+
+    def last(tag: str) -> int:
+        return places[tag][-1] if places.get(tag) else -1
+
+    def close(tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
+        floor = max(map(last, scope))
+        while open_at := [i for i in map(last, tags) if i > floor]:
+            pop_to(min(open_at))
 
     def flush() -> None:
         nonlocal linked
         joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
-        if joined and not any(t in ("title", "head") for t, _, _ in stack):
+        if joined and not places.get("title") and not places.get("head"):
             tag, parent, depth, hint = "", 0, 0, 0
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in _BLOCKS:
@@ -83,21 +102,25 @@ def blocks(page: str) -> list[Block]:
         if tag in _BLOCKS:
             flush()
         if m.group(2):
-            for i in range(len(stack) - 1, max(-1, len(stack) - 64), -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if last(tag) > max(map(last, _SCOPE.get(tag, ())), default=-1):
+                pop_to(last(tag))
             if tag == "a" and link_depth:
                 link_depth -= 1
-        elif tag not in _VOID and not m.group(4).endswith("/"):
-            if tag in ("p", "li") and stack and stack[-1][0] == tag:
-                stack.pop()
+            continue
+        if tag not in _IN_HEAD and places.get("head"):
+            pop_to(places["head"][0])
+        if tag in _ENDS_P:
+            close(("p",), _SCOPE["p"])
+        if tag in _CLOSES:
+            close(_CLOSES[tag], _SCOPE[tag])
+        if tag not in _VOID and not m.group(4).endswith("/"):
             nodes += 1
             hint = stack[-1][2] if stack else 0
             if tag in _CHROME or (tag in _BLOCKS and _CHROME_NAME.search(m.group(4))):
                 hint = -1
             elif tag in _CONTENT and hint == 0:
                 hint = 1
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, nodes, hint))
             if tag == "a":
                 link_depth += 1

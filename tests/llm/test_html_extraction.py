@@ -68,3 +68,13 @@ def test_edges(spark):
     assert len(got) == 9 and {r.page_id: r.n_blocks for r in got}[1] == 0
     assert [r.text for r in got if r.page_id == 1] == [None] and [r.text for r in got if r.page_id == 2] == [""]
     assert extract_content(df.filter("false")).count() == 0
+
+
+def test_optional_end_tags():
+    for chrome in ("<nav><ul>" + "<li><p>item" * 40 + "</nav>", "<header><table>" + "<tr><td>cell<td>cell" * 40 + "</header>", "<aside>" + "<font><span>x" * 60 + "</aside>"):
+        found = blocks(chrome + "<article><p>Text of the story.</article><p>After")
+        assert [(b.text, b.hint) for b in found][-2:] == [("Text of the story.", 1), ("After", 0)]
+        assert all(b.hint == -1 for b in found[:-2])
+    for page in ("<html><head><title>T</title><meta charset=utf-8><body><p>One<div>Two</div>", "<head><title>T</title><p>One<hr>Two"):
+        assert [b.text for b in blocks(page)] == ["One", "Two"]
+    assert [b.depth for b in blocks("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>")] == [1, 3, 3, 1, 1]
