@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import col, cut, drop_cut, table
-from .text_arrays import WORD_BYTES, Texts
+from .text_arrays import WORD_BYTES, Texts, byte_sizes
 
 #: Share of a group's documents whose covariance has the least determinant.
 SUPPORT = 0.75
@@ -53,8 +53,7 @@ _SYMBOL = _bytes(lambda i: 32 < i < 127 and not chr(i).isalnum() and chr(i) not
 def statistics(texts: pa.Array) -> np.ndarray:
     """One row of ``NAMES`` per text, transformed. Null and empty texts get the usual values."""
     found = []
-    sizes = np.diff(np.frombuffer(texts.cast(pa.large_string()).buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0)
-    ahead, at = np.cumsum(sizes), 0
+    ahead, at = np.cumsum(byte_sizes(texts)), 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(ahead, (ahead[at - 1] if at else 0) + SLICE, "right")))
         t = Texts(texts.slice(at, to - at))

@@ -14,4 +14,4 @@ QUERIES = {
     "op9_url_filter": url_filter.query,
     "op10_mixing": mixing.query,
 }
-ORACLES = {"op2_line_dedup": line_dedup.SQL, "op9_url_filter": url_filter.SQL}
+ORACLES = {"op2_line_dedup": line_dedup.SQL, "op4_ngram_jaccard_join": near_duplicates.SQL, "op9_url_filter": url_filter.SQL}

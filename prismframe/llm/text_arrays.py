@@ -27,6 +27,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(max(n, 1), base, np.uint64))])[: n + 1]
 
 
+def byte_sizes(texts: pa.Array) -> np.ndarray:
+    """Bytes of each text; nulls have none."""
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+
+
 class Texts:
     """``data``: the bytes of all texts, each followed by a space; text ``i`` is ``data[starts[i]:ends[i]]``."""
 
