@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Function words of four letters or more (shorter ones never are tokens), in the five main languages of the feeds.
@@ -44,6 +44,13 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda w: (F.length(w) >= MIN_LENGTH) & ~w.isin(*STOPWORDS))  # so many literals become a hash set
 
 
+def token_rows(docs: DataFrame, by: list[str], text: Column) -> DataFrame:
+    """``by`` and ``term``, a row for each of ``tokens(text)``: exploded first, so that all that follows is generated code."""
+    raw = docs.select(*by, F.explode(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\p{L}{4,})"), F.lit(1))).alias("term"))
+    term = F.col("term")
+    return raw.select(*by, singular(term).alias("term")).filter((F.length(term) >= MIN_LENGTH) & ~term.isin(*STOPWORDS))
+
+
 def title_tokens(title: Column) -> Column:
     words = F.regexp_extract_all(F.lower(F.coalesce(title, F.lit(""))), F.lit(r"([a-z]{4,})"), F.lit(1))
     return F.array_distinct(F.filter(words, lambda w: ~w.isin(*TITLE_STOPWORDS)))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_title
@@ -13,14 +12,17 @@ from ..functions.urls import canonical_url
 def annotate(items: DataFrame, link: str, title: str, feed: str) -> DataFrame:
     """Adds ``canonical_url``, ``normalised_title``, ``url_dup_count``, ``title_dup_count``, ``url_dup_feeds``, ``title_dup_feeds``.
 
-    Empty keys group nothing (count 0, no feeds). Two windows on hashed keys, one shuffle each.
+    Empty and null keys group nothing (count 0, no feeds): their rows meet no other. The rest is aggregated by key, which
+    combines map-side, and keys of several items join back.
     """
     out = items.withColumn("canonical_url", canonical_url(F.col(link))).withColumn("normalised_title", normalise_title(F.col(title)))
+    none = F.array().cast("array<string>")
     for key, name in (("canonical_url", "url"), ("normalised_title", "title")):
-        w = W.partitionBy(key)
-        n = F.when(F.col(key) != "", F.count(F.lit(1)).over(w)).otherwise(F.lit(0).cast("long"))
-        feeds = F.array_sort(F.collect_set(feed).over(w))
-        out = out.withColumn(f"{name}_dup_count", n).withColumn(f"{name}_dup_feeds", F.when(F.col(f"{name}_dup_count") > 1, feeds).otherwise(F.array().cast("array<string>")))
+        count, feeds = f"{name}_dup_count", f"{name}_dup_feeds"
+        keyed = F.coalesce(F.col(key) != "", F.lit(False))
+        many = out.filter(keyed).groupBy(key).agg(F.count(F.lit(1)).alias(count), F.array_sort(F.collect_set(feed)).alias(feeds)).filter(F.col(count) > 1)
+        told = out.filter(keyed).join(many, key, "left").select(*[c for c in out.columns], F.coalesce(count, F.lit(1).cast("long")).alias(count), F.coalesce(feeds, none).alias(feeds))
+        out = told.unionByName(out.filter(~keyed).withColumn(count, F.lit(0).cast("long")).withColumn(feeds, none))
     return out
 
 

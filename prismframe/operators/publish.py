@@ -46,3 +46,29 @@ def drift(today: DataFrame, baseline: DataFrame, key: str, label: str, vector: s
     both = today.select(key, F.col(label).alias("l1"), F.col(vector).alias("v1")).join(baseline.select(key, F.col(label).alias("l0"), F.col(vector).alias("v0")), key)
     out = both.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("l1") == F.col("l0")).cast("double")).alias("match_rate"), F.avg(cosine("v1", "v0")).alias("mean_cosine"))
     return out.withColumn("drifted", (F.col("match_rate") < 0.75) | (F.col("mean_cosine") < 0.92))
+
+
+def word_card(terms: DataFrame, most: int = 6) -> DataFrame:
+    """The best term (``rank`` 1) of each bucket, the ``most`` distinctive ones by ``g2``."""
+    return terms.filter("rank = 1").orderBy(F.desc("g2"), "bucket", "term").limit(most).select("bucket", "term", "g2")
+
+
+def tilt_card(wire: DataFrame, mean: DataFrame, most: int = 5) -> DataFrame:
+    """(bucket, z_wire, z_mean): the buckets that tilt most against the wire, with their tilt against the mean of others.
+
+    Both: bucket, z. The greatest positive z of a bucket counts, 0 without one.
+    """
+    def top(t: DataFrame, name: str) -> DataFrame:
+        return t.groupBy("bucket").agg(F.greatest(F.max("z"), F.lit(0.0)).alias(name))
+
+    both = top(wire, "z_wire").join(top(mean, "z_mean"), "bucket", "full").na.fill(0.0)
+    return both.orderBy(F.desc("z_wire"), "bucket").limit(most)
+
+
+def shift_card(shares: DataFrame, frame: str, day: str, share: str, last: int = 7) -> DataFrame:
+    """The entries of the last ``last`` days of the frame that moved most in them: (frame, day, share, delta)."""
+    from .series import share_changes
+
+    recent = share_changes(shares, [frame], day, share).withColumn("_r", F.row_number().over(W.partitionBy(frame).orderBy(F.desc(day)))).filter(F.col("_r") <= last)
+    best = recent.groupBy(frame).agg(F.max(F.abs("delta")).alias("_m")).filter("_m > 0").orderBy(F.desc("_m"), frame).limit(1)
+    return recent.join(best, frame, "left_semi").select(frame, day, share, "delta")

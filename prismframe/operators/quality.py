@@ -30,6 +30,22 @@ def schema_errors(rows: DataFrame, expected: dict[str, str]) -> list[str]:
     return missing + wrong + [f"{c}: not expected" for c in have if c not in expected]
 
 
+def json_errors(rows: DataFrame, document: str, expected: dict[str, str], required: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``errors``: what a JSON text lacks or has of another type, in order of the path; "not JSON" alone if it is none.
+
+    ``expected``: dotted path -> JSON type as variants name it (BIGINT, STRING, OBJECT<..> by its first word, ..).
+    """
+    doc = F.try_parse_json(F.col(document))
+    found = []
+    for path, kind in sorted(expected.items()):
+        at = F.try_variant_get(doc, f"$.{path}", "variant")
+        have = F.regexp_extract(F.schema_of_variant(at), r"^(\w+)", 1)
+        lacks = F.lit(f"{path}: missing") if path in required else F.lit(None).cast("string")
+        found.append(F.when(at.isNull() | (have == "VOID"), lacks).when(have != kind, F.concat(F.lit(f"{path}: "), have, F.lit(f" instead of {kind}"))))
+    errors = F.when(doc.isNull(), F.array(F.lit("not JSON"))).otherwise(F.filter(F.array(*found), lambda e: e.isNotNull()))
+    return rows.withColumn("errors", errors)
+
+
 def restamp(rows: DataFrame, version: str, column: str = "meta_version") -> DataFrame:
     """The version overwritten where it differs, with ``restamped`` telling where."""
     old = F.col(column) if column in rows.columns else F.lit(None).cast("string")

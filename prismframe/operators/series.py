@@ -87,3 +87,8 @@ def feed_rot(daily: DataFrame, feed: str, day: str, bad: str, value: str, bad_da
     """(feed, n_bad, first, last, n_days, rotten, declining): bad on ``bad_days`` days; or a fall from 5 to below half."""
     g = daily.groupBy(feed).agg(F.count_if(F.col(bad)).alias("n_bad"), F.min_by(value, day).alias("first"), F.max_by(value, day).alias("last"), F.count(F.lit(1)).alias("n_days"))
     return g.withColumn("rotten", F.col("n_bad") >= bad_days).withColumn("declining", (F.col("n_days") >= 4) & (F.col("first") >= 5) & (F.col("last") * 2 < F.col("first")))
+
+
+def steepest_declines(rot: DataFrame, feed: str, most: int = 20) -> DataFrame:
+    """Of ``feed_rot`` the declining feeds, those that gave most at first before the others."""
+    return rot.filter("declining").orderBy(F.desc("first"), feed).limit(most).select(feed, "first", "last")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, dot
+from ..plans.session import shared_checkpoint
 
 
 def centroids(vectors: DataFrame, by: list[str], vector: str) -> DataFrame:
@@ -39,29 +40,81 @@ def convergence(vectors: DataFrame, by: list[str], vector: str) -> DataFrame:
     return sums.groupBy(*by).agg(F.max("n").alias("n"), (F.sum(F.col("s") * F.col("s")) / (F.max("n") * F.max("n"))).alias("mean_similarity"))
 
 
-def neighbours(vectors: DataFrame, id_col: str, vector: str, eps: float, cells: int = 16) -> DataFrame:
-    """Pairs (a, b), a <> b, of unit vectors with 1 - cosine <= ``eps``: exact, blocked.
-
-    Every vector is compared with every other, as blocks: rows hash to ``cells`` blocks, and a pair of blocks meets in
-    one task, so no side is broadcast and a task holds two blocks only.
-    """
-    block = F.pmod(F.xxhash64(id_col), F.lit(cells))
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), block.alias("c"))
-    left = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))).select(F.col("id").alias("a"), F.col("v").alias("va"), F.col("c"), F.col("d").cast("long").alias("d"))
-    right = rows.withColumn("d", F.col("c")).select(F.col("id").alias("b"), F.col("v").alias("vb"), F.col("d"))
-    return left.join(right, "d").filter((F.col("a") != F.col("b")) & (1 - dot("va", "vb") <= eps)).select("a", "b")
+#: Vectors a cell holds about, and rows of one side that a task multiplies.
+CELL_ROWS, BLOCK_ROWS, MOST_CELLS = 1024, 8192, 4096
 
 
-def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame:
-    """(id, root): least id of each component, by rounds of neighbour minima and pointer jumps. Runs actions per round.
+def neighbours(vectors: DataFrame, id_col: str, vector: str, eps: float) -> DataFrame:
+    """Pairs (a, b), a <> b, of unit vectors with 1 - cosine <= ``eps``: exact, by cells and matrix products.
 
-    Labels are checkpointed each round in the session's shared folder, so lineage stays short.
+    Every vector lives in the cell of its nearest pivot, and visits each cell whose pivot is no further from it, as an
+    angle, than the cell's radius plus that of ``eps``: by the triangle inequality all others hold none of its neighbours.
+    Pivots are the ``CELL_ROWS``-th part of the vectors by hash, ``MOST_CELLS`` at most (that many vectors reach the driver).
+    A cell and its visitors fall into tiles of ``BLOCK_ROWS`` rows a side. Null vectors have no neighbours.
     """
-    from ..plans.session import shared_checkpoint
-
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    rows = shared_checkpoint(vectors.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull()))
+    k = min(MOST_CELLS, -(-rows.count() // CELL_ROWS))
+    if not k:
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    pivots = np.array([r.v for r in rows.orderBy(F.xxhash64("id"), "id").limit(k).collect()])
+    reach = math.acos(max(-1.0, 1 - eps))
+
+    def matrix(column: pa.Array) -> np.ndarray:
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        return flat.reshape(len(column), -1)
+
+    def home(batches):
+        for batch in batches:
+            angles = np.arccos(np.clip(matrix(batch.column(1)) @ pivots.T, -1, 1)) if len(batch) else np.zeros((0, k))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(angles.argmin(1), pa.int32()), pa.array(angles.min(1) if len(batch) else [], pa.float64())], names=["id", "v", "home", "angle"])
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    homed = shared_checkpoint(rows.mapInArrow(home, f"id {id_type}, v array<double>, home int, angle double"))
+    radius = np.full(k, -math.inf)
+    for r in homed.groupBy("home").agg(F.max("angle").alias("angle")).collect():
+        radius[r.home] = r.angle + 1e-6  # rounding must not lose a pair
+
+    def visits(batches):
+        for batch in batches:
+            near = np.arccos(np.clip(matrix(batch.column(1)) @ pivots.T, -1, 1)) <= radius + reach if len(batch) else np.zeros((0, k), bool)
+            at, cell = np.nonzero(near)
+            lengths = np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(lengths), pa.array(cell, pa.int32()))], names=["id", "v", "home", "cells"])
+
+    seen = shared_checkpoint(homed.mapInArrow(visits, f"id {id_type}, v array<double>, home int, cells array<int>"))
+    residents = seen.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("h"))
+    guests = seen.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("g"))
+    sides = shared_checkpoint(residents.join(guests, "cell"))
+    block = F.xxhash64("id")
+    left = seen.select("id", "v", F.col("home").alias("cell")).join(sides, "cell").select("id", "v", "cell", F.pmod(block, "h").cast("long").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
+    guest = seen.select(F.col("id").alias("to"), F.col("v").alias("w"), F.explode("cells").alias("cell")).join(sides, "cell")
+    right = guest.select("to", "w", F.col("cell").alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1)).alias("k"), F.pmod(F.xxhash64("to"), "g").cast("long").alias("l"))
+
+    def multiply(x: pa.Table, y: pa.Table) -> pa.Table:
+        empty = pa.table({"a": x.column("id").slice(0, 0), "b": y.column("to").slice(0, 0)})
+        if not len(x) or not len(y):
+            return empty
+        at, to = np.nonzero(1 - matrix(x.column("v").combine_chunks()) @ matrix(y.column("w").combine_chunks()).T <= eps)
+        return pa.table({"a": x.column("id").take(pa.array(at)), "b": y.column("to").take(pa.array(to))})
+
+    found = left.groupBy("cell", "i", "j").cogroup(right.groupBy("c", "k", "l")).applyInArrow(multiply, f"a {id_type}, b {id_type}")
+    return found.filter("a <> b")
+
+
+def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, root): least id of each component, by rounds of neighbour minima and pointer jumps until nothing changes.
+
+    Labels are checkpointed each round in the session's shared folder, so lineage stays short. Every round but the last
+    lowers a label, so it ends.
+    """
+    both = shared_checkpoint(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = shared_checkpoint(nodes.select("id", F.col("id").alias("root")))
-    for _ in range(rounds):
+    while True:
         least = both.join(labels.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
         near = labels.join(least, "id", "left").select("id", F.col("root").alias("old"), F.least("root", F.coalesce("near", "root")).alias("mid"))
         jumped = near.join(labels.select(F.col("id").alias("mid"), F.col("root").alias("far")), "mid").select("id", "old", F.least("mid", "far").alias("root"))
@@ -69,7 +122,6 @@ def connected(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame
         if after.filter("root <> old").isEmpty():
             return after.select("id", "root")
         labels = after.select("id", "root")
-    return labels
 
 
 def dbscan(vectors: DataFrame, id_col: str, vector: str, eps: float = 0.35, min_samples: int = 3) -> DataFrame:
@@ -77,8 +129,6 @@ def dbscan(vectors: DataFrame, id_col: str, vector: str, eps: float = 0.35, min_
 
     A core point has ``min_samples`` points within ``eps``, itself included. A border point joins its least-named core.
     """
-    from ..plans.session import shared_checkpoint
-
     near = shared_checkpoint(neighbours(vectors, id_col, vector, eps))
     core = shared_checkpoint(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") + 1 >= min_samples).select(F.col("a").alias("id")))
     inner = near.join(core.select(F.col("id").alias("a")), "a", "left_semi").join(core.select(F.col("id").alias("b")), "b", "left_semi")

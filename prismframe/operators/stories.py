@@ -80,3 +80,61 @@ def co_presence(presence: DataFrame, story: str, bucket: str) -> DataFrame:
     n = p.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
     both = p.select(story, F.col(bucket).alias("a")).join(p.select(story, F.col(bucket).alias("b")), story).filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
     return both.join(n.select(F.col(bucket).alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col(bucket).alias("b"), F.col("n").alias("nb")), "b").select("a", "b", "both", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("jaccard"))
+
+
+def qualifying(clusters: DataFrame, least: int = 3) -> DataFrame:
+    """Clusters that ``least`` outlets carry: what a briefing is built for. An unknown number is none."""
+    return clusters.filter(F.coalesce(F.col("n_outlets"), F.lit(0)) >= least)
+
+
+def ordered_clusters(clusters: DataFrame, day: str = "day") -> DataFrame:
+    """Adds ``rank`` within the day: more countries first, then more articles, then the lower cluster."""
+    return clusters.withColumn("rank", F.row_number().over(W.partitionBy(day).orderBy(F.desc("n_countries"), F.desc("n_articles"), "cluster_id")).cast("long"))
+
+
+def ordered_lineages(lineages: DataFrame, most: int) -> DataFrame:
+    """The ``most`` longest lineages: more days first, then more countries, then the lower id."""
+    return lineages.orderBy(F.desc("n_days"), F.desc("n_countries"), "lineage_id").limit(most)
+
+
+def lineage_ids(clusters: DataFrame, lineages: DataFrame) -> DataFrame:
+    """Adds ``lineage_id`` to clusters (day, cluster_id): that of the lineage that starts or last appeared there, else a new one.
+
+    ``lineages``: lineage_id, seed_day, seed_cluster, latest_day, latest_cluster. Only these two ends are looked up; where
+    several lineages have the same end, the greatest id counts. A new id is hashed from day and cluster.
+    """
+    ends = lineages.select("lineage_id", F.explode(F.array(F.struct(F.col("seed_day").alias("day"), F.col("seed_cluster").alias("cluster_id")), F.struct(F.col("latest_day").alias("day"), F.col("latest_cluster").alias("cluster_id")))).alias("e"))
+    known = ends.select("lineage_id", "e.*").filter("day IS NOT NULL AND cluster_id IS NOT NULL").groupBy("day", "cluster_id").agg(F.max("lineage_id").alias("_known"))
+    minted = F.concat(F.lit("L"), F.left(F.sha2(F.concat_ws("|", F.col("day").cast("string"), F.col("cluster_id").cast("string")), 256), F.lit(10)))
+    return clusters.join(known, ["day", "cluster_id"], "left").withColumn("lineage_id", F.coalesce("_known", minted)).drop("_known")
+
+
+def story_signals(stories: DataFrame, parts: dict[str, tuple[DataFrame, list[str]]], buckets: DataFrame, tilt: DataFrame) -> DataFrame:
+    """``stories`` with every part that exists, as a struct of its name, or null: all are left joins.
+
+    ``parts``: name -> (table of one row per key, the keys it joins on); a table without the story leaves null. ``tilt`` (bucket,
+    outlet and figures) is kept for the buckets of each story (``buckets``: day, story, bucket) and comes as ``tilt``, an
+    array by bucket and outlet: a story has a few.
+    """
+    out = stories
+    for name, (table, keys) in parts.items():
+        rest = [c for c in table.columns if c not in keys]
+        out = out.join(table.select(*keys, F.struct(*rest).alias(name)), keys, "left")
+    carried = buckets.select("day", "story", "bucket").distinct()
+    used = tilt.join(carried, "bucket", "left_semi")
+    figures = [c for c in tilt.columns if c not in ("bucket", "outlet")]
+    each = carried.join(used, "bucket").groupBy("day", "story").agg(F.array_sort(F.collect_list(F.struct("bucket", "outlet", *figures))).alias("tilt"))
+    return out.join(each, ["day", "story"], "left")
+
+
+def persistent_themes(clusters: DataFrame, words: Column, least_countries: int = 8, least_days: int = 1) -> DataFrame:
+    """(term, n_days): on how many days a word is in the title of a story that ``least_countries`` carry."""
+    wide = clusters.filter(F.col("n_countries") >= least_countries).select("day", F.explode(words).alias("term")).distinct()
+    return wide.groupBy("term").agg(F.count(F.lit(1)).alias("n_days")).filter(F.col("n_days") >= least_days)
+
+
+def widest(clusters: DataFrame, most: int = 10, same: int = 40) -> DataFrame:
+    """The ``most`` stories with most countries; titles that agree in ``same`` characters are one. Later days and titles first."""
+    order = [F.desc("n_countries"), F.desc("day"), F.desc("title")]
+    best = clusters.select("n_countries", "day", "title").distinct().withColumn("_r", F.row_number().over(W.partitionBy(F.left("title", F.lit(same))).orderBy(*order))).filter("_r = 1").drop("_r")
+    return best.orderBy(*order).limit(most)

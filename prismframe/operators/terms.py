@@ -7,22 +7,45 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import stats
+from ..plans.session import shared_checkpoint
 
 
 def counts(docs: DataFrame, by: list[str], words: Column) -> DataFrame:
     """``by``, ``term``, ``n``: one partial aggregation and one shuffle."""
-    return docs.select(*by, F.explode(words).alias("term")).groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n"))
+    return count_rows(docs.select(*by, F.explode(words).alias("term")), by)
+
+
+def count_rows(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, ``term``, ``n`` of a row per occurrence."""
+    return rows.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def against_cohort(found: DataFrame, bucket: str = "bucket", cohort: str = "lang") -> DataFrame:
-    """Counts with the cohort's others left over: ``a``, ``b``, ``total_a``, ``total_b``. Windows, not joins: what is
-    left of the cohort without oneself is its sum minus one's own.
+    """Counts with the cohort's others left over: ``a``, ``b``, ``total_a``, ``total_b``. What is left of the cohort without
+    oneself is its sum minus one's own.
+
+    The counts are written once: texts are split once, whatever is asked of them. Only (cohort, term) shuffles; totals are a
+    row per bucket, aggregated map-side and joined by whatever their size allows.
     """
-    own = W.partitionBy(bucket, cohort)
-    return found.select(
-        bucket, cohort, "term", F.col("n").alias("a"), (F.sum("n").over(W.partitionBy(cohort, "term")) - F.col("n")).alias("b"),
-        F.sum("n").over(own).alias("total_a"), F.sum("n").over(W.partitionBy(cohort)).alias("all"),
-    ).withColumn("total_b", F.greatest(F.col("all") - F.col("total_a"), F.lit(1))).drop("all")
+    found = shared_checkpoint(found.select(bucket, cohort, "term", "n"))
+    own = found.groupBy(bucket, cohort).agg(F.sum("n").alias("total_a"))
+    totals = shared_checkpoint(own.join(own.groupBy(cohort).agg(F.sum("total_a").alias("all")), cohort))
+    both = found.withColumn("b", F.sum("n").over(W.partitionBy(cohort, "term")) - F.col("n")).join(totals, [bucket, cohort])
+    return both.select(bucket, cohort, "term", F.col("n").alias("a"), "b", "total_a", F.greatest(F.col("all") - F.col("total_a"), F.lit(1)).alias("total_b"))
+
+
+def union_counts(*counters: DataFrame) -> DataFrame:
+    """The sum of counters (same keys, ``n``): an item counts in all of them together."""
+    keys = [c for c in counters[0].columns if c != "n"]
+    out = counters[0]
+    for more in counters[1:]:
+        out = out.unionByName(more)
+    return out.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def subtract_counts(of: DataFrame, less: DataFrame) -> DataFrame:
+    """``of`` minus ``less`` (same keys, ``n``): items that nothing is left of are gone."""
+    return union_counts(of, less.withColumn("n", -F.col("n"))).filter("n > 0")
 
 
 def log_likelihood(table: DataFrame, by: list[str], least: int = 5, top: int = 20) -> DataFrame:
@@ -72,14 +95,42 @@ def tilt(own: DataFrame, baseline: DataFrame, by: str, least: int = 2) -> DataFr
     return joined.withColumn("log_odds", F.round(delta, 6)).withColumn("z", F.round(z, 6))
 
 
+def _with(tests: DataFrame, one: DataFrame, family: list[str]) -> DataFrame:
+    """``tests`` with the columns of their family's row in ``one``."""
+    if not family:
+        return tests.crossJoin(one)
+    return _matched(tests, one, family, "left")
+
+
+def _matched(rows: DataFrame, one: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``rows`` joined to ``one`` on ``keys``, where null equals null."""
+    renamed = one.select(*[F.col(k).alias(f"{k}__") for k in keys], *[c for c in one.columns if c not in keys])
+    same = None
+    for k in keys:
+        equal = F.col(k).eqNullSafe(F.col(f"{k}__"))
+        same = equal if same is None else same & equal
+    return rows.join(renamed, same, how).drop(*[f"{k}__" for k in keys])
+
+
 def benjamini_hochberg(tests: DataFrame, p: str, family: list[str], q: float = 0.05) -> DataFrame:
-    """Adds ``significant``: rank at most the largest k with p(k) <= k / n * q. Equal p share the verdict."""
-    w = W.partitionBy(*family) if family else W.partitionBy(F.lit(1))
-    ranked = tests.withColumn("_k", F.row_number().over(w.orderBy(p))).withColumn("_n", F.count(F.lit(1)).over(w))
-    limit = F.max(F.when(F.col(p) <= F.col("_k") / F.col("_n") * q, F.col(p))).over(w)
-    return ranked.withColumn("significant", F.coalesce(F.col(p) <= limit, F.lit(False))).drop("_k", "_n")
+    """Adds ``significant``: p at most the largest p(k) with p(k) <= k / n * q. Equal p share the verdict; null p never is.
+
+    No family is sorted in one task: equal p are counted first, values of p fall into slices (halves near 0, thousandths
+    above), slice totals are summed up in order, and only values within a slice are ranked.
+    """
+    value = F.col("_p")
+    fine = F.lit(1074) + F.floor(value * 1000)
+    slice_ = F.when(value >= 0.001, fine).when(value > 0, F.lit(1073) - F.least(F.lit(1073), F.floor(-F.log2(value)))).otherwise(-1)
+    keyed = tests.filter(F.col(p).isNotNull()).groupBy(*family, F.col(p).cast("double").alias("_p")).agg(F.count(F.lit(1)).alias("_c")).withColumn("_s", slice_.cast("int"))
+    slices = keyed.groupBy(*family, "_s").agg(F.sum("_c").alias("_here"))
+    order = W.partitionBy(*family) if family else W.partitionBy(F.lit(1))  # at most 2,077 slices a family
+    placed = slices.withColumn("_before", F.sum("_here").over(order.orderBy("_s")) - F.col("_here")).withColumn("_n", F.sum("_here").over(order)).drop("_here")
+    ranked = keyed.withColumn("_k", F.sum("_c").over(W.partitionBy(*family, "_s").orderBy("_p")))
+    whole = _matched(ranked, placed, [*family, "_s"], "inner")
+    limit = whole.filter(F.col("_p") <= (F.col("_before") + F.col("_k")) / F.col("_n") * q).groupBy(*family).agg(F.max("_p").alias("_limit"))
+    return _with(tests, limit, family).withColumn("significant", F.coalesce(F.col(p) <= F.col("_limit"), F.lit(False))).drop("_limit")
 
 
 def bonferroni(tests: DataFrame, p: str, family: list[str], alpha: float = 0.05) -> DataFrame:
-    w = W.partitionBy(*family) if family else W.partitionBy(F.lit(1))
-    return tests.withColumn("significant", F.col(p) <= F.lit(alpha) / F.count(F.lit(1)).over(w))
+    sizes = tests.groupBy(*family).agg(F.count(F.lit(1)).alias("_n"))
+    return _with(tests, sizes, family).withColumn("significant", F.col(p) <= F.lit(alpha) / F.col("_n")).drop("_n")

@@ -34,7 +34,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read back: ends the lineage, survives the loss of executors."""
+    """Written to the shared folder and read back: ends the lineage, survives the loss of executors.
+
+    The table goes when the session ends, or earlier by ``drop_checkpoint``.
+    """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    system, place = _file_system(df.sparkSession, path)
+    system.deleteOnExit(place)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete a table made by ``shared_checkpoint`` that nothing lazy still reads."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        system, place = _file_system(df.sparkSession, folder)
+        system.delete(place, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place

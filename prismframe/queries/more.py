@@ -29,23 +29,15 @@ def stable_sample(spark, sf_dir):
     return SL.stable_sample(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 200)
 
 
-@query(f"""WITH {ARTICLES}, c AS (SELECT outlet AS bucket, lang AS term, count(*) AS score FROM articles GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM c), x AS (SELECT bucket, term, score, 'bigram' AS kind FROM b WHERE r = 1) SELECT * FROM x ORDER BY score DESC, bucket LIMIT 3""")
-def distinctive_phrases(spark, sf_dir):
-    a = articles(spark, sf_dir).withColumn("bucket", F.col("outlet"))
-    c = a.groupBy("bucket", F.col("lang").alias("term")).agg(F.count(F.lit(1)).alias("score"))
-    w = a.groupBy("bucket", F.col("story").alias("term")).agg(F.count(F.lit(1)).alias("score"))
-    return SL.distinctive_phrases(c, w, F.array(F.lit("France"), F.lit("north korea")))
-
-
 @query()
 def headline_strip(spark, sf_dir):
     """Greedy, so without SQL: headlines of different frames and buckets."""
     return SL.headline_strip(quotes(spark, sf_dir), ["story"], "frame", "speaker_type", "idx")
 
 
-@query(f"WITH {ARTICLES} SELECT story, arg_min(left(title, 50), (CASE WHEN outlet = 'src1' THEN 0 ELSE 1 END, doc_id)) AS representative, count(DISTINCT outlet) AS n_feeds FROM articles GROUP BY story")
+@query(f"WITH {ARTICLES} SELECT story, arg_min(title, (CASE WHEN outlet = 'src1' THEN 0 ELSE 1 END, doc_id)) AS representative, count(DISTINCT outlet) AS n_feeds FROM articles GROUP BY story")
 def cluster_representatives(spark, sf_dir):
-    a = articles(spark, sf_dir).select("story", "outlet", "doc_id", F.left("title", F.lit(50)).alias("t"), (F.col("outlet") == "src1").alias("wire"))
+    a = articles(spark, sf_dir).select("story", "outlet", "doc_id", F.col("title").alias("t"), (F.col("outlet") == "src1").alias("wire"))
     r = SL.representative(a, ["story"], "wire", "doc_id", "t")
     return r.join(a.groupBy("story").agg(F.count_distinct("outlet").alias("n_feeds")), "story")
 
@@ -104,9 +96,9 @@ def input_pins(spark, sf_dir):
     return QL.pin({t: read(spark, sf_dir, t) for t in ("region", "nation", "supplier")})
 
 
-@query(f"WITH {ARTICLES}, o AS (SELECT 'src' || CAST(n_nationkey AS VARCHAR) AS outlet, 'L' || CAST(n_regionkey AS VARCHAR) AS lean, CASE WHEN n_nationkey % 2 = 0 THEN 'xx' END AS lang FROM nation WHERE n_nationkey < 15) SELECT doc_id, coalesce(o.lang, a.lang, 'en') AS lang, lean FROM articles a LEFT JOIN o ON a.outlet = o.outlet")
+@query(f"WITH {ARTICLES}, o AS (SELECT 'src' || CAST(n_nationkey AS VARCHAR) AS outlet, 'L' || CAST(n_regionkey AS VARCHAR) AS lean, CASE WHEN n_nationkey % 2 = 0 THEN 'xx' END AS lang FROM nation) SELECT doc_id, coalesce(o.lang, a.lang, 'en') AS lang, lean FROM articles a LEFT JOIN o ON a.outlet = o.outlet")
 def outlet_defaults(spark, sf_dir):
-    n = read(spark, sf_dir, "nation").filter("n_nationkey < 15")
+    n = read(spark, sf_dir, "nation")
     o = n.select(F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("outlet"), F.concat(F.lit("L"), F.col("n_regionkey").cast("string")).alias("lean"), F.when(F.col("n_nationkey") % 2 == 0, "xx").alias("lang"))
     return snapshots.with_defaults(articles(spark, sf_dir).select("doc_id", "outlet", "lang"), o).select("doc_id", "lang", "lean")
 
@@ -143,9 +135,9 @@ def host_shares(spark, sf_dir):
     return read(spark, sf_dir, "pages").groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("url").contains("utm_")).alias("n_tracked"), F.bool_or(urls.is_google_news(F.col("url"))).alias("google"))
 
 
-@query(f"WITH {FACTS}, p AS (SELECT DISTINCT story, bucket FROM facts) SELECT bucket, coalesce(r_name, 'other') AS region, count(*) AS n FROM p LEFT JOIN (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 8) x USING (bucket) GROUP BY ALL")
+@query(f"WITH {FACTS}, p AS (SELECT DISTINCT story, bucket FROM facts) SELECT bucket, coalesce(r_name, 'other') AS region, count(*) AS n FROM p LEFT JOIN (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) x USING (bucket) GROUP BY ALL")
 def bucket_regions(spark, sf_dir):
-    n, r = read(spark, sf_dir, "nation").filter("n_nationkey < 8"), read(spark, sf_dir, "region")
+    n, r = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
     m = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("bucket"), "r_name")
     p = facts(spark, sf_dir).select("story", "bucket").distinct()
     return p.join(m, "bucket", "left").groupBy("bucket", F.coalesce("r_name", F.lit("other")).alias("region")).agg(F.count(F.lit(1)).alias("n"))

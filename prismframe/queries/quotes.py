@@ -74,12 +74,13 @@ def verbatim_grounding(spark, sf_dir):
     return Q.verbatim(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"), "item_id", "text", "doc_id", "text")
 
 
-_CARRY = f"{FACTS}, ca AS (SELECT DISTINCT story AS frame, bucket FROM facts WHERE value > 260), wt AS (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, 1.0 + n_regionkey AS weight FROM nation WHERE n_nationkey < 10)"
+_CARRY = f"{FACTS}, ca AS (SELECT DISTINCT story AS frame, bucket FROM facts GROUP BY day, story, bucket HAVING sum(value) > 300), wt AS (SELECT 'b' || CAST(n_nationkey AS VARCHAR) AS bucket, 1.0 + n_regionkey AS weight FROM nation)"
 
 
 def _carriers(spark, sf_dir):
-    c = facts(spark, sf_dir).filter("value > 260").select(F.col("story").alias("frame"), "bucket")
-    w = read(spark, sf_dir, "nation").filter("n_nationkey < 10").select(F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("bucket"), (F.col("n_regionkey") + 1.0).alias("weight"))
+    """A bucket carries a frame with a day of more than 300 on it."""
+    c = facts(spark, sf_dir).groupBy("day", F.col("story").alias("frame"), "bucket").agg(F.sum("value").alias("v")).filter("v > 300").select("frame", "bucket")
+    w = read(spark, sf_dir, "nation").select(F.concat(F.lit("b"), F.col("n_nationkey").cast("string")).alias("bucket"), (F.col("n_regionkey") + 1.0).alias("weight"))
     return c, w
 
 

@@ -30,19 +30,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as articles: source is the outlet, five countries, thirty days, seventeen stories."""
+    """documents as articles: source is the outlet, the first line the title, the second the summary; five countries, thirty days, seventeen stories."""
     d = read(spark, sf_dir, "documents")
     no = F.substring("source", 4, 9).cast("int")
     return d.select(
         "doc_id", F.col("text").alias("body"), "lang", F.col("source").alias("outlet"), F.concat(F.lit("c"), (no % 5).cast("string")).alias("country"),
-        F.left(F.element_at(F.split("text", "\n"), 1), F.lit(300)).alias("title"), F.left("text", F.lit(200)).alias("summary"),
+        F.substring_index("text", "\n", 1).alias("title"), F.coalesce(F.try_element_at(F.split("text", "\n"), F.lit(2)), F.lit("")).alias("summary"),
         F.date_add(F.lit("2024-01-01").cast("date"), F.expr("doc_id div 7 % 30").cast("int")).alias("day"), F.concat(F.lit("s"), (F.col("doc_id") % 17).cast("string")).alias("story"),
         F.when(no % 7 == 0, "opinion").otherwise("news").alias("section"),
     )
 
 
 ARTICLES = """articles AS (SELECT doc_id, text AS body, lang, source AS outlet, 'c' || CAST(CAST(substr(source, 4) AS INT) % 5 AS VARCHAR) AS country,
-  left(split_part(text, chr(10), 1), 300) AS title, left(text, 200) AS summary, DATE '2024-01-01' + CAST(doc_id // 7 % 30 AS INT) AS day,
+  split_part(text, chr(10), 1) AS title, coalesce(split_part(text, chr(10), 2), '') AS summary, DATE '2024-01-01' + CAST(doc_id // 7 % 30 AS INT) AS day,
   's' || CAST(doc_id % 17 AS VARCHAR) AS story, CASE WHEN CAST(substr(source, 4) AS INT) % 7 = 0 THEN 'opinion' ELSE 'news' END AS section FROM documents)"""
 
 

@@ -130,12 +130,14 @@ def first_matches(spark, sf_dir):
     return C.first_matches(a, "outlet", "doc_id", "hit", ["n_chars"])
 
 
-@query(f"""WITH {FACTS}, m AS (SELECT DISTINCT story, bucket FROM facts WHERE value > 260), o AS (SELECT bucket, sum(value) < 0 AS failed FROM facts WHERE bucket <> 'b7' GROUP BY 1), g AS (SELECT * FROM (SELECT DISTINCT story FROM facts) CROSS JOIN (SELECT DISTINCT bucket FROM facts))
+@query(f"""WITH {FACTS}, m AS (SELECT story, bucket FROM facts GROUP BY ALL HAVING sum(value) > (SELECT sum(value) / 60 FROM facts)), o AS (SELECT bucket, sum(value) < 0 AS failed FROM facts WHERE bucket <> 'b7' GROUP BY 1), g AS (SELECT * FROM (SELECT DISTINCT story FROM facts) CROSS JOIN (SELECT DISTINCT bucket FROM facts))
 SELECT g.story, g.bucket, CASE WHEN m.story IS NOT NULL THEN 'covered' WHEN failed THEN 'errored' WHEN failed IS NOT NULL THEN 'silent' ELSE 'dark' END AS state FROM g LEFT JOIN m ON g.story = m.story AND g.bucket = m.bucket LEFT JOIN o ON o.bucket = g.bucket""")
 def coverage_matrix(spark, sf_dir):
     f = facts(spark, sf_dir)
     observed = f.filter("bucket <> 'b7'").groupBy("bucket").agg((F.sum("value") < 0).alias("failed"))
-    return C.matrix(f, f, f.filter("value > 260"), observed)
+    total = f.agg((F.sum("value") / 60).alias("mean"))  # covered: more than the mean of all stories and buckets
+    covered = f.groupBy("story", "bucket").agg(F.sum("value").alias("v")).crossJoin(total).filter("v > mean")
+    return C.matrix(f, f, covered, observed)
 
 
 @query(f"WITH {FACTS} SELECT story, count(DISTINCT bucket) AS n_buckets, count(DISTINCT feed) AS n_feeds, list_sort(list(value))[count(*) // 2 + 1] AS upper_median FROM facts GROUP BY story")

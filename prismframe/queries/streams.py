@@ -18,8 +18,9 @@ def feed_parsing(spark, sf_dir):
 
 @query()
 def quote_extraction(spark, sf_dir):
-    """Order-dependent patterns: without SQL."""
-    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit('Ana Ruiz said: "'), F.left("text", F.lit(40)), F.lit('".')).alias("t"))
+    """Whole turns quoted twice, with the attribution before and after."""
+    plain = F.translate(F.coalesce("text", F.lit("")), '"“”«»„\n', "       ")
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.lit('Ana Ruiz said: "'), plain, F.lit('".\n"'), plain, F.lit('", added Bo Chen.')).alias("t"))
     return c.select("conv_id", "turn", F.explode(feeds.extract_quotes("t")).alias("q")).select("conv_id", "turn", "q.*")
 
 

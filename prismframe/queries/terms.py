@@ -13,6 +13,12 @@ _COHORT = """cohort AS (SELECT bucket, lang, term, n AS a, CAST(sum(n) OVER (PAR
  greatest(CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) - CAST(sum(n) OVER (PARTITION BY bucket, lang) AS BIGINT), 1) AS total_b FROM counts)"""
 
 
+def _rows(spark, sf_dir):
+    """A row per word of the news articles."""
+    a = articles(spark, sf_dir).filter("section <> 'opinion'")
+    return X.token_rows(a.withColumn("bucket", F.col("outlet")), ["bucket", "lang"], F.col("body"))
+
+
 def _words(spark, sf_dir):
     return articles(spark, sf_dir).filter("section <> 'opinion'").select(F.col("outlet").alias("bucket"), "lang", "country", "day", X.tokens(F.col("body")).alias("w"))
 
@@ -22,7 +28,7 @@ g AS (SELECT *, round({g2_sql()}, 6) AS g2 FROM cohort WHERE a >= 5 AND a * tota
 r AS (SELECT *, row_number() OVER (PARTITION BY bucket, lang ORDER BY g2 DESC, term) AS rank FROM g WHERE g2 >= 10.827566170662733)
 SELECT bucket, lang, term, a, b, g2, CASE WHEN b > 0 THEN round(log2((a / total_a) / (b / total_b)), 6) END AS log_ratio, rank FROM r WHERE rank <= 20""")
 def within_language_llr(spark, sf_dir):
-    found = T.counts(_words(spark, sf_dir), ["bucket", "lang"], F.col("w"))
+    found = T.count_rows(_rows(spark, sf_dir), ["bucket", "lang"])
     return T.log_likelihood(T.against_cohort(found), ["bucket", "lang"]).select("bucket", "lang", "term", "a", "b", "g2", "log_ratio", F.col("rank").cast("long").alias("rank"))
 
 
@@ -35,17 +41,38 @@ def within_language_bigrams(spark, sf_dir):
     return T.log_odds_terms(T.against_cohort(found), ["bucket", "lang"]).select("bucket", "lang", "term", "a", "b", "log_odds", "z", F.col("rank").cast("long").alias("rank"))
 
 
+_NAMES = ("Therland", "north Eauria")
+_CLEAN = """len(list_filter(string_split(term, ' '), lambda w: length(w) >= 4 AND len(list_filter(['therland', 'eauria'], lambda p: starts_with(p, left(w, 4)) OR starts_with(w, left(p, 4)))) > 0)) = 0"""
+
+
+@query(f"""WITH {ARTICLES}, {_WORDS}, gc AS (SELECT bucket, lang, term, count(*) AS n FROM (SELECT bucket, lang, unnest({bigrams_sql('w')}) AS term FROM words {_NEWS}) GROUP BY ALL), wc AS (SELECT bucket, lang, term, count(*) AS n FROM (SELECT bucket, lang, unnest(w) AS term FROM words {_NEWS}) GROUP BY ALL),
+{_COHORT.replace('cohort AS', 'gt AS').replace('FROM counts', 'FROM gc')}, {_COHORT.replace('cohort AS', 'wt AS').replace('FROM counts', 'FROM wc')},
+g AS (SELECT bucket, term, round({Z}, 6) AS score FROM gt WHERE a >= 8), w AS (SELECT bucket, term, round({g2_sql()}, 6) AS score FROM wt WHERE a >= 5 AND a * total_b > b * total_a),
+gr AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM g WHERE score >= 1.96 AND {_CLEAN}), wr AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY score DESC, term) AS r FROM w WHERE score >= 10.827566170662733 AND {_CLEAN}),
+p AS (SELECT bucket, term, score, 'bigram' AS kind FROM gr WHERE r = 1), x AS (SELECT * FROM p UNION ALL SELECT bucket, term, score, 'word' FROM wr WHERE r = 1 AND bucket NOT IN (SELECT bucket FROM p) AND (SELECT count(*) FROM p) < 25) SELECT * FROM x ORDER BY score DESC, bucket LIMIT 12""")
+def distinctive_phrases(spark, sf_dir):
+    """Bigrams by z and words by log-likelihood, all of them, before the leakage filter; words stand in where bigrams are few."""
+    from ..functions import stats
+    from ..operators import selection as SL
+
+    grams = T.against_cohort(T.counts(_words(spark, sf_dir), ["bucket", "lang"], X.bigrams(F.col("w"))))
+    _, z = stats.log_odds(F.col("a"), F.col("b"), F.col("total_a"), F.col("total_b"))
+    pairs = grams.filter("a >= 8").select("bucket", "term", F.round(z, 6).alias("score")).filter("score >= 1.96")
+    found = T.against_cohort(T.count_rows(_rows(spark, sf_dir), ["bucket", "lang"])).filter("a >= 5 AND a * total_b > b * total_a")
+    single = found.select("bucket", "term", F.round(stats.g2(F.col("a"), F.col("b"), F.col("total_a"), F.col("total_b")), 6).alias("score")).filter(F.col("score") >= stats.CHI2_001)
+    return SL.distinctive_phrases(pairs, single, F.array(*map(F.lit, _NAMES)), least=25, top=12)
+
+
 @query(f"""WITH {ARTICLES}, {_WORDS}, c AS (SELECT bucket, term, count(*) AS n FROM (SELECT country AS bucket, unnest(w) AS term FROM words) GROUP BY ALL), d AS (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM c)
 SELECT bucket, term, n FROM d WHERE df <= 1 AND n >= 3""")
 def exclusive_vocabulary(spark, sf_dir):
-    a = articles(spark, sf_dir).select(F.col("country").alias("bucket"), X.tokens(F.col("body")).alias("w"))
-    return T.exclusive(T.counts(a, ["bucket"], F.col("w")))
+    a = articles(spark, sf_dir).withColumn("bucket", F.col("country"))
+    return T.exclusive(T.count_rows(X.token_rows(a, ["bucket"], F.col("body")), ["bucket"]))
 
 
 @query(f"""WITH {ARTICLES}, {_WORDS}, c AS (SELECT country, count(DISTINCT term) AS n_terms, count(*) AS n_tokens FROM (SELECT country, unnest(w) AS term FROM words) GROUP BY ALL) SELECT country, n_terms, n_tokens, n_tokens < 30 AS thin FROM c""")
 def bucket_vocabulary(spark, sf_dir):
-    a = articles(spark, sf_dir).select("country", X.tokens(F.col("body")).alias("w"))
-    found = T.counts(a, ["country"], F.col("w"))
+    found = T.count_rows(X.token_rows(articles(spark, sf_dir), ["country"], F.col("body")), ["country"])
     return found.groupBy("country").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("n").alias("n_tokens")).withColumn("thin", F.col("n_tokens") < 30)
 
 
@@ -112,7 +139,7 @@ def multiple_testing(spark, sf_dir):
 
 @query(f"""WITH {ARTICLES}, {_WORDS}, t AS (SELECT DISTINCT day, unnest(w) AS term FROM words) SELECT term, count(DISTINCT day) AS n_days FROM t GROUP BY 1 HAVING count(DISTINCT day) >= 10""")
 def theme_persistence(spark, sf_dir):
-    a = articles(spark, sf_dir).select("day", F.explode(X.tokens(F.col("body"))).alias("term")).distinct()
+    a = X.token_rows(articles(spark, sf_dir), ["day"], F.col("body")).distinct()
     return a.groupBy("term").agg(F.count(F.lit(1)).alias("n_days")).filter("n_days >= 10")
 
 
@@ -120,7 +147,10 @@ def theme_persistence(spark, sf_dir):
 SELECT a.bucket AS a, b.bucket AS b, CAST(len(list_intersect(a.v, b.v)) AS BIGINT) AS common, round(len(list_intersect(a.v, b.v)) / (len(a.v) + len(b.v) - len(list_intersect(a.v, b.v))), 6) AS jaccard FROM s a JOIN s b ON a.bucket < b.bucket""")
 def vocabulary_overlap(spark, sf_dir):
     """Through the inverted index: buckets meet at the terms they share."""
-    long = articles(spark, sf_dir).select(F.col("outlet").alias("bucket"), F.explode(X.tokens(F.col("body"))).alias("term")).distinct()
+    from ..plans.session import shared_checkpoint
+
+    a = articles(spark, sf_dir).withColumn("bucket", F.col("outlet"))
+    long = shared_checkpoint(X.token_rows(a, ["bucket"], F.col("body")).distinct())  # read three times
     n = long.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     both = long.select("term", F.col("bucket").alias("a")).join(long.select("term", F.col("bucket").alias("b")), "term").filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     sized = both.join(n.select(F.col("bucket").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("bucket").alias("b"), F.col("n").alias("nb")), "b")

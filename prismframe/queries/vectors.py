@@ -148,10 +148,10 @@ def briefing_novelty(spark, sf_dir):
     return ST.novel_articles(a, ["story", "outlet"], "w", "level", "n", "doc_id")
 
 
-@query(f"""WITH {ARTICLES}, p AS (SELECT DISTINCT left(title, 6) AS story, country FROM articles), n AS (SELECT country, count(*) AS n FROM p GROUP BY 1) SELECT x.country AS a, y.country AS b, count(*) AS "both", round(count(*) / (max(na.n) + max(nb.n) - count(*)), 6) AS jaccard
+@query(f"""WITH {ARTICLES}, p AS (SELECT DISTINCT story || CAST(day AS VARCHAR) AS story, country FROM articles), n AS (SELECT country, count(*) AS n FROM p GROUP BY 1) SELECT x.country AS a, y.country AS b, count(*) AS "both", round(count(*) / (max(na.n) + max(nb.n) - count(*)), 6) AS jaccard
 FROM p x JOIN p y ON x.story = y.story AND x.country < y.country JOIN n na ON na.country = x.country JOIN n nb ON nb.country = y.country GROUP BY ALL""")
 def country_co_presence(spark, sf_dir):
-    p = articles(spark, sf_dir).withColumn("story", F.left("title", F.lit(6)))
+    p = articles(spark, sf_dir).withColumn("story", F.concat("story", F.col("day").cast("string")))
     return ST.co_presence(p, "story", "country").withColumn("jaccard", F.round("jaccard", 6))
 
 

@@ -14,10 +14,13 @@ from urllib.parse import urlsplit
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..plans.session import shared_checkpoint
+
 ITEM = "array<struct<title string, link string, summary string, published string>>"
 _DATES = ("pubdate", "published", "updated", "date")
 _LIMITS = {"title": 300, "link": 400, "summary": 500, "published": 60}
@@ -96,7 +99,7 @@ def parse_sitemap(body: Column | str) -> Column:
 
 
 def feed_items(feeds: DataFrame, body: str, *keep: str) -> DataFrame:
-    """One row per item with its position in the feed."""
+    """One row per item with its position in the feed, 50 a feed and fields cut as the archive of snapshots has them."""
     return feeds.select(*keep, F.posexplode(parse_feed(F.col(body))).alias("item_pos", "x")).select(*keep, "item_pos", "x.*")
 
 
@@ -119,13 +122,30 @@ GKG = ("record_id", "date", "source_type", "source", "url", "counts1", "counts2"
        "dates", "gcam", "image", "related_images", "social_images", "social_videos", "quotations", "names", "amounts", "translation", "extras")
 
 
-def read_gkg(spark, path: str) -> DataFrame:
+def parse_gkg(lines: DataFrame, line: str = "value") -> DataFrame:
     """Tab-separated knowledge-graph records of 27 columns; shorter rows are skipped; sub-fields become arrays."""
-    lines = spark.read.text(path).select(F.split("value", "\t").alias("v")).filter(F.size("v") >= len(GKG))
-    named = lines.select(*[F.col("v")[i].alias(c) for i, c in enumerate(GKG)])
+    named = lines.select(F.split(line, "\t").alias("v")).filter(F.size("v") >= len(GKG)).select(*[F.col("v")[i].alias(c) for i, c in enumerate(GKG)])
     for c in ("themes", "persons", "orgs"):
         named = named.withColumn(c, F.filter(F.transform(F.split(c, ";"), lambda x: F.element_at(F.split(x, ","), 1)), lambda x: x != ""))
-    return named.withColumn("places", F.filter(F.transform(F.split("locations", ";"), lambda x: F.try_element_at(F.split(x, "#"), F.lit(2))), lambda x: x.isNotNull()))
+    pieces = F.transform(F.split("locations", ";"), lambda x: F.split(x, "#"))
+    country = F.filter(pieces, lambda p: (F.size(p) >= 4) & (p[0] == "1"))
+    named = named.withColumn("places", F.filter(F.transform(pieces, lambda p: F.try_element_at(p, F.lit(2))), lambda x: x.isNotNull())).withColumn("country", F.try_element_at(country, F.lit(1))[2])
+    return named.withColumn("language", F.coalesce(F.nullif(F.regexp_extract("translation", "srclc:([a-z]{3})", 1), F.lit("")), F.lit("eng")))
+
+
+def read_gkg(spark: SparkSession, path: str) -> DataFrame:
+    return parse_gkg(spark.read.text(path))
+
+
+def gkg_counters(records: DataFrame, most: dict[str, int] | None = None) -> DataFrame:
+    """(kind, item, n, rank) of the commonest source countries, sources, themes and languages. Ties go to the lower item."""
+    most = most or {"country": 25, "source": 30, "theme": 30, "language": 20}
+    parts = {"country": F.array("country"), "source": F.array(F.left("source", F.lit(60))), "theme": F.col("themes"), "language": F.array("language")}
+    every = F.map_from_arrays(F.array(*map(F.lit, parts)), F.array(*parts.values()))
+    each = records.select(F.explode(every).alias("kind", "items")).select("kind", F.explode("items").alias("item")).filter("item IS NOT NULL")
+    limit = F.create_map(*[F.lit(x) for k, v in most.items() for x in (k, v)])[F.col("kind")]
+    rank = F.row_number().over(W.partitionBy("kind").orderBy(F.desc("n"), "item")).cast("long")
+    return each.groupBy("kind", "item").agg(F.count(F.lit(1)).alias("n")).withColumn("rank", rank).filter(F.col("rank") <= limit)
 
 
 def dated_files(df: DataFrame, pattern: str = r"(\d{4}-\d{2}-\d{2})(?:_([^/]+?))?\.json$") -> DataFrame:
@@ -135,7 +155,7 @@ def dated_files(df: DataFrame, pattern: str = r"(\d{4}-\d{2}-\d{2})(?:_([^/]+?))
 
 
 class _Host(InputPartition):
-    def __init__(self, urls: list[str]):
+    def __init__(self, urls: list[tuple[int, str]]):
         super().__init__(urls)
         self.urls = urls
 
@@ -144,22 +164,23 @@ class _HttpReader(DataSourceReader):
     def __init__(self, options: dict):
         self.urls = [u for u in options.get("urls", "").split("\n") if u]
         self.gap, self.tries, self.timeout = float(options.get("gap", 1)), int(options.get("attempts", 3)), float(options.get("timeout", 20))
+        self.backoff = float(options.get("backoff", 2))
 
     def partitions(self) -> list[_Host]:
         """One partition per host, so that the least gap between requests to a host needs no lock across executors."""
-        hosts: dict[str, list[str]] = {}
-        for u in self.urls:
-            hosts.setdefault(urlsplit(u).netloc.lower(), []).append(u)
+        hosts: dict[str, list[tuple[int, str]]] = {}
+        for pos, u in enumerate(self.urls):
+            hosts.setdefault(urlsplit(u).netloc.lower(), []).append((pos, u))
         return [_Host(u) for u in hosts.values()]
 
     def read(self, partition: _Host) -> Iterator[tuple]:
-        for i, url in enumerate(partition.urls):
+        for i, (pos, url) in enumerate(partition.urls):
             if i:
                 time.sleep(self.gap)
-            yield self.fetch(url)
+            yield pos, *self.fetch(url)
 
     def fetch(self, url: str) -> tuple:
-        """Server errors and lost connections are tried again after 2, 4, .. seconds; other statuses are returned."""
+        """Server errors and lost connections are tried again after ``backoff``, twice that, ..; other statuses are returned."""
         began, status, error = time.time(), None, None
         for k in range(self.tries):
             try:
@@ -174,7 +195,7 @@ class _HttpReader(DataSourceReader):
                 if "SSL" in error or isinstance(e, ValueError):
                     break
             if k + 1 < self.tries:
-                time.sleep(2 * 2**k)
+                time.sleep(self.backoff * 2**k)
         return url, status, None, error, int((time.time() - began) * 1000)
 
 
@@ -186,12 +207,52 @@ class HttpSource(DataSource):
         return "prism_http"
 
     def schema(self) -> str:
-        return "url string, http_status int, body binary, error string, fetch_ms int"
+        return "url_pos int, url string, http_status int, body binary, error string, fetch_ms int"
 
     def reader(self, schema) -> _HttpReader:
         return _HttpReader(self.options)
 
 
+def fetch(spark: SparkSession, urls: list[str], **options: str) -> DataFrame:
+    """Every address once, with ``url_pos``, its place in the list: results come by host, the declared order is a sort away."""
+    spark.dataSource.register(HttpSource)
+    return spark.read.format("prism_http").option("urls", "\n".join(urls)).options(**options).load()
+
+
+SITEMAPS = ("/sitemap-news.xml", "/news-sitemap.xml", "/sitemap_news.xml")
+
+
+def sitemap_fallback(spark: SparkSession, feeds: list[str], most: int = 50, **options: str) -> DataFrame:
+    """(feed_url, item_pos, title, link, summary, published) of the first usual sitemap of each feed's site that has titles."""
+    wanted = [(f, p, "{0.scheme}://{0.netloc}".format(urlsplit(f)) + path) for f in feeds for p, path in enumerate(SITEMAPS)]
+    places = spark.createDataFrame([(i, f, p) for i, (f, p, _) in enumerate(wanted)], "url_pos int, feed_url string, path_pos int")
+    got = fetch(spark, [u for *_, u in wanted], attempts="1", **options).filter("http_status = 200").join(places, "url_pos")
+    items = got.select("feed_url", "path_pos", F.posexplode(parse_sitemap("body")).alias("pos", "x")).filter("x.title <> '' AND NOT x.nested")
+    w = W.partitionBy("feed_url").orderBy("path_pos", "pos")
+    first = items.withColumn("_p", F.min("path_pos").over(W.partitionBy("feed_url"))).filter("path_pos = _p").withColumn("item_pos", F.row_number().over(w) - 1).filter(F.col("item_pos") < most)
+    return first.select("feed_url", "item_pos", F.left("x.title", F.lit(300)).alias("title"), F.left("x.url", F.lit(400)).alias("link"), F.lit("").alias("summary"), F.left("x.raw_date", F.lit(60)).alias("published"))
+
+
+def sitemap_pages(spark: SparkSession, sitemaps: list[str], children: int = 3, **options: str) -> DataFrame:
+    """(sitemap, url, raw_date) of sitemaps. An index, which has nothing but sitemaps, is followed to its first ``children``.
+
+    The children's addresses, few per declared sitemap, pass through the driver, which plans the second fetch.
+    """
+    def parsed(urls: list[str]) -> DataFrame:
+        got = fetch(spark, urls, **options).filter("http_status = 200")
+        return shared_checkpoint(got.select("url_pos", F.col("url").alias("sitemap"), F.posexplode(parse_sitemap("body")).alias("pos", "x")).select("url_pos", "sitemap", "pos", "x.*"))
+
+    top = parsed(sitemaps)
+    plain = top.filter("NOT nested").select("sitemap", "url", "raw_date")
+    only = top.join(top.filter("NOT nested").select("url_pos").distinct(), "url_pos", "left_anti")
+    nested = only.withColumn("r", F.row_number().over(W.partitionBy("url_pos").orderBy("pos"))).filter(F.col("r") <= children).select("sitemap", "url").orderBy("sitemap", "r").collect()
+    if not nested:
+        return plain
+    parents = spark.createDataFrame([(i, r.sitemap) for i, r in enumerate(nested)], "url_pos int, parent string")
+    below = parsed([r.url for r in nested]).filter("NOT nested").join(parents, "url_pos")
+    return plain.unionByName(below.select(F.col("parent").alias("sitemap"), "url", "raw_date"))
+
+
 _OPEN = re.compile(r"[“”«»„]")
 _SAID = "said|told|claimed|warned|argued|denied|stated|explained|added|insisted|announced|declared|says|adds|dijo|afirmó|explicó|aseguró|advirtió|negó|declaró|añadió|dice|asegura"
 _BEFORE = re.compile(rf"(?P<who>[^\".!?\n]{{2,60}}?)\s+(?P<verb>{_SAID})\b[^\"\n]{{0,100}}?\"(?P<quote>[^\"\n]{{5,}}?)\"", re.I)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..plans.session import shared_folder
+
 
 def distinct_items(items: DataFrame, ts: str, key: str, window: str = "30 days") -> DataFrame:
     """Items whose key did not occur within ``window``: repeats are dropped, state expires with the watermark."""
@@ -62,7 +65,17 @@ def sessions(items: DataFrame, ts: str, by: list[str], gap: str = "6 hours", del
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a bounded stream to its end into a memory table of that name: for tests and small tables."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
+    """Run a bounded stream to its end and read what it gave.
+
+    Every batch is written by the executors to a folder of its own under ``spark.checkpoint.dir``, next to the query's own
+    checkpoint; a batch that is run again replaces its folder. In complete mode the last batch counts.
+    """
+    spark = stream.sparkSession
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/{'last' if mode == 'complete' else f'batch={number}'}")
+
+    spark.createDataFrame([], stream.schema).write.parquet(f"{folder}/rows/none")  # so that a stream without rows can be read
+    stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows/*")
