@@ -13,8 +13,8 @@ d = (1 - t) / (1 + t) * (a + b) n-grams, and share at least t * a and t * b. Thr
   narrower band by XOR of its halves. Sketches have a sixteenth of the size of the sets, which travel only for what is left.
 * Verification by exact Jaccard similarity.
 
-Frequencies come from one table of counters of fixed size, so they may be too high, which costs time but never a pair; an
-n-gram counted once is in no other document and is left out. Equal sets are one node until the end: copies of a text cost
+Frequencies come from one table of counters of fixed size, so they may be too high, which costs time but never a pair. Keys
+travel sorted and packed, by ranges of the key, about 19 bytes each. Equal sets are one node until the end: copies of a text cost
 one row each. For the pipeline, links close to groups by large-star and small-star steps.
 """
 
@@ -41,6 +41,8 @@ COUNTERS, CHUNK = 1 << 27, 1 << 20
 HOT_ROWS = 1 << 15
 #: Pairs that are kept before repeats among them are dropped, and pairs that one task verifies, about.
 HELD, TILE_PAIRS = 1 << 20, 100_000
+#: Keys that are sorted and packed at once, about.
+FLUSHED = 1 << 19
 #: Bits of the filter of ids that candidates' texts pass before their exact join: 16 MB at most.
 FILTER_BITS = 1 << 27
 SLICE = 1 << 20
@@ -73,28 +75,28 @@ def _slots(grams: np.ndarray) -> np.ndarray:
 
 def coded(counts: np.ndarray) -> np.ndarray:
     """Counts in a byte, in order: exact to 127, then eight steps to the doubling."""
-    high = 127 + np.ceil(8 * np.log2(np.maximum(counts, 127) / 127.0))
-    return np.where(counts <= 127, counts, np.minimum(high, 255)).astype(np.uint8)
+    codes = np.minimum(counts, 127).astype(np.uint8)
+    high = np.flatnonzero(counts > 127)
+    codes[high] = np.minimum(127 + np.ceil(8 * np.log2(counts[high] / 127.0)), 255).astype(np.uint8)
+    return codes
 
 
 def decoded(codes: np.ndarray) -> np.ndarray:
     return np.where(codes <= 127, codes, 127 * 2.0 ** ((codes.astype(float) - 127) / 8))
 
 
-def prefix(grams: np.ndarray, t: float, counters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, their positions): the prefix of a set in order of frequency, without n-grams that no other document holds."""
+def prefix(grams: np.ndarray, t: float, counters: np.ndarray | None = None) -> np.ndarray:
+    """The prefix of a set in order of frequency: its first ``n - ceil(t * n) + 1`` n-grams."""
     n = len(grams)
     least = n - math.ceil(t * n - 1e-9) + 1
     count = np.zeros(n, np.uint64) if counters is None else counters[_slots(grams)].astype(np.uint64)
     # the count, then the hash: of one count the top bits decide, and equal ones keep the order of the hash
-    order = np.argsort((count << np.uint64(56)) | (grams >> np.uint64(8)), kind="stable")[:least]
-    at = np.arange(least) if counters is None else np.flatnonzero(count[order] > 1)
-    return grams[order[at]], at
+    return grams[np.argsort((count << np.uint64(56)) | (grams >> np.uint64(8)), kind="stable")[:least]]
 
 
 def part_keys(grams: np.ndarray, t: float) -> np.ndarray:
     """Keys that a set is joined by when no frequencies are known."""
-    return prefix(grams, t)[0]
+    return prefix(grams, t)
 
 
 def _node(grams: np.ndarray) -> int:
@@ -198,57 +200,104 @@ def _tiles(keys: np.ndarray, node: int, codes: np.ndarray) -> tuple[np.ndarray,
     return at, np.where(side == 1, keys[at], split)
 
 
-def _keys(docs: DataFrame, counts: list[tuple[int, bytes]], t: float, n: int) -> DataFrame:
-    """key, node, about. Copies of a text give their keys once a partition.
+#: What is known of a key, but for the node: 48 bits of an n-gram or its tile, the set's size, the n-gram's place as a share
+#: of the size in 255ths, rounded down, and 32 bits of the previous key (0: none). Keys that collide cost time.
+KEY = [("key", np.uint64), ("node", np.int64), ("size", np.uint32), ("place", np.uint8), ("before", np.uint32)]
 
-    ``key`` is 48 bits of an n-gram or its tile and 16 of the n-gram's place, as a share of the size; ``about`` is 28 bits
-    of the size and 36 of the previous key. Keys that collide cost time; places are rounded down.
-    """
-    packed = docs.sparkSession.sparkContext.broadcast(counts)
+
+def key_rows(grams: np.ndarray, node: int, t: float, counters: np.ndarray) -> list[np.ndarray]:
+    """The columns of ``KEY`` for one set."""
+    keys, n = prefix(grams, t, counters), len(grams)
+    before = np.concatenate([np.zeros(1, np.uint32), (keys[:-1] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)])
+    at, tile = _tiles(keys, node, counters[_slots(keys)])
+    return [tile >> np.uint64(16), np.full(len(at), node), np.full(len(at), n, np.uint32), (at * 255 // n).astype(np.uint8), before[at]]
+
+
+def _split(column: np.ndarray, size: int) -> bytes:
+    """The low ``size`` bytes of every value, byte by byte, so that the high ones compress."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(-1, column.itemsize)[:, :size].T).tobytes()
+
+
+def pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of ``KEY`` in order of the key."""
+    key, node, size, place, before = columns
+    small = pa.compress(_split(np.diff(key, prepend=np.uint64(0)), 6) + _split(size, 4) + place.tobytes(), "zstd", asbytes=True)
+    return small + node.tobytes() + before.tobytes()
+
+
+def unpack(data: memoryview, n: int) -> list[np.ndarray]:
+    end = len(data) - 12 * n
+    small = np.frombuffer(pa.decompress(data[:end], 11 * n, "zstd", asbytes=True), np.uint8)
+    delta, size = np.zeros((n, 8), np.uint8), np.empty((n, 4), np.uint8)
+    delta[:, :6], size[:] = small[: 6 * n].reshape(6, n).T, small[6 * n : 10 * n].reshape(4, n).T
+    return [np.cumsum(delta.view(np.uint64)[:, 0], dtype=np.uint64), np.frombuffer(data[end : end + 8 * n], np.int64), size.view(np.uint32)[:, 0], small[10 * n :], np.frombuffer(data[end + 8 * n :], np.uint32)]
+
+
+def _keys(docs: DataFrame, counts: list[tuple[int, bytes]], t: float, n: int) -> DataFrame:
+    """(bucket, n, keys): packed keys by range of the key. Copies of a text give their keys once a partition."""
+    spark = docs.sparkSession
+    packed, buckets = spark.sparkContext.broadcast(counts), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = np.array([(i << 48) // buckets for i in range(buckets + 1)], np.uint64)
+
+    def flush(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        order = np.argsort(columns[0], kind="stable")
+        columns = [c[order] for c in columns]
+        ends = np.searchsorted(columns[0], edges)
+        some = np.flatnonzero(np.diff(ends))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(np.diff(ends)[some], pa.int32()), pa.array([pack([c[ends[b] : ends[b + 1]] for c in columns]) for b in some], pa.binary())], names=["bucket", "n", "keys"])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, seen = np.zeros(COUNTERS, np.uint8), set()
         for chunk, data in packed.value:
             counters[chunk * CHUNK : (chunk + 1) * CHUNK] = _unpacked(data)
+        held, many = [], 0
         for batch in rows:
-            node, key, about = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for grams in gram_sets(batch.column(1), n):
                 if len(grams) and (x := _node(grams)) not in seen:
                     seen.add(x)
-                    keys, place = prefix(grams, t, counters)
-                    if not len(keys):
-                        continue
-                    before = np.concatenate([np.zeros(1, np.uint64), (keys[:-1] >> np.uint64(28)) | np.uint64(1)])
-                    at, tile = _tiles(keys, x, counters[_slots(keys)])
-                    node.append(np.full(len(at), x))
-                    key.append((tile & np.uint64(0xFFFFFFFFFFFF0000)) | (place[at] * 65535 // len(grams)).astype(np.uint64))
-                    about.append(np.uint64(len(grams) << 36) | before[at])
-            columns = [np.concatenate(key).view(np.int64), np.concatenate(node), np.concatenate(about).view(np.int64)]
-            for i in range(0, len(columns[0]), SLICE):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + SLICE]) for c in columns], names=["key", "node", "about"])
+                    held.append(key_rows(grams, x, t, counters))
+                    many += len(held[-1][0])
+                    if many >= FLUSHED:
+                        yield from flush(held)
+                        held, many = [], 0
+        if held:
+            yield from flush(held)
 
-    return docs.mapInArrow(batches, "key long, node long, about long")
+    return docs.mapInArrow(batches, "bucket int, n int, keys binary")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """node, grams (distinct). Copies of a text come once a partition."""
+    """(at, node, grams): the set of every text in ``docs`` (text, node, tiles) that is its node's, for each of its tiles.
+
+    Copies of a text come once a partition.
+    """
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in rows:
-            found = {x: g for g in gram_sets(batch.column(1), n) if len(g) and (x := _node(g)) not in seen}
-            seen.update(found)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), _lists([g.view(np.int64) for g in found.values()], np.int64)], names=["node", "grams"])
-
-    return docs.mapInArrow(batches, "node long, grams array<long>")
+            at, nodes, held, size = [], [], [], 0
+            for grams, node, tiles in zip(gram_sets(batch.column(0), n), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if node not in seen and len(grams) and _node(grams) == node:
+                    seen.add(node)
+                    for tile in tiles:
+                        at.append(tile)
+                        nodes.append(node)
+                        held.append(grams.view(np.int64))
+                        size += len(grams)
+                        if size >= HELD:
+                            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(nodes, pa.int64()), _lists(held, np.int64)], names=["at", "node", "grams"])
+                            at, nodes, held, size = [], [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(nodes, pa.int64()), _lists(held, np.int64)], names=["at", "node", "grams"])
+
+    return docs.select("text", "node", "tiles").mapInArrow(batches, "at long, node long, grams array<long>")
 
 
 def _met(rows: list[np.ndarray], t: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes that share a key, of rows (key, node, about) of whole keys."""
-    key, node, about = rows
-    place, about = (key.view(np.uint64) & np.uint64(0xFFFF)).astype(np.int64), about.view(np.uint64)
-    key, size, before = key >> 16, (about >> np.uint64(36)).astype(np.int64), about & np.uint64(0xFFFFFFFFF)
-    left = size - place * size // 65535
+    """Pairs of nodes that share a key, of all rows (``KEY``) of the keys in them."""
+    key, node, size, place, before = rows
+    size = size.astype(np.int64)
+    left = size - place.astype(np.int64) * size // 255
     order = np.lexsort((node, size, key))
     key, node, size, left, before = (c[order] for c in (key, node, size, left, before))
     once = np.ones(len(key), bool)  # copies from several partitions stand side by side
@@ -280,24 +329,25 @@ def _met(rows: list[np.ndarray], t: float) -> Iterator[pa.RecordBatch]:
             found, held = [pairs], len(pairs)
 
 
-def _meetings(meet: DataFrame, t: float) -> DataFrame:
+def _meetings(keys: DataFrame, t: float) -> DataFrame:
     """(a, b), a < b, of nodes that share a key and may reach ``t`` by their sizes and what follows the key. Pairs may repeat."""
 
+    def met(kept: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        yield from _met([np.concatenate(c) for c in zip(*kept, strict=True)], t)
+
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[list[np.ndarray]] = []
-        many = 0
+        kept, last = [], None
         for batch in rows:
-            kept.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
-            many += len(batch)
-            if many >= HELD and kept[0][0][0] >> 16 != kept[-1][0][-1] >> 16:
-                now = [np.concatenate(c) for c in zip(*kept, strict=True)]
-                end = int(np.flatnonzero(now[0] >> 16 != now[0][-1] >> 16)[-1]) + 1  # the last key may go on
-                yield from _met([c[:end] for c in now], t)
-                kept, many = [[c[end:] for c in now]], len(now[0]) - end
-        if many:
-            yield from _met([np.concatenate(c) for c in zip(*kept, strict=True)], t)
+            for bucket, n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if bucket != last and kept:
+                    yield from met(kept)
+                    kept = []
+                last = bucket
+                kept.append(unpack(memoryview(data.as_buffer()), n))
+        if kept:
+            yield from met(kept)
 
-    return meet.repartition(F.shiftright("key", 16)).sortWithinPartitions("key").mapInArrow(batches, "a long, b long")
+    return keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(batches, "a long, b long")
 
 
 def _tiled(pairs: DataFrame) -> DataFrame:
@@ -313,10 +363,13 @@ def _tiled(pairs: DataFrame) -> DataFrame:
     return cut(labelled.join(sizes, "label").select(tile.alias("tile"), "a", "b"))
 
 
-def _by_tile(tiled: DataFrame, nodes: DataFrame, value: str, test, schema: str) -> DataFrame:
-    """``test(pairs, {node: value})`` for the pairs of each tile and what ``nodes`` (node, ``value``) has of them."""
-    needed = tiled.select("tile", F.col("a").alias("node")).unionByName(tiled.select("tile", F.col("b").alias("node"))).distinct()
-    right = needed.join(nodes, "node").select(F.col("tile").alias("at"), "node", value)
+def _needed(tiled: DataFrame) -> DataFrame:
+    """(tile, node) of all nodes of the pairs in a tile."""
+    return tiled.select("tile", F.col("a").alias("node")).unionByName(tiled.select("tile", F.col("b").alias("node"))).distinct()
+
+
+def _by_tile(tiled: DataFrame, right: DataFrame, value: str, test, schema: str) -> DataFrame:
+    """``test(pairs, {node: value})`` for the pairs of each tile and what ``right`` (at, node, ``value``) has for it."""
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         column = right.column(value).combine_chunks()
@@ -337,7 +390,8 @@ def _sketched(tiled: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
         ok = [hamming(held[x], held[y]) <= (1 - t) / (1 + t) * sum(int(held[z][:4].view(np.uint32)[0]) for z in (x, y)) + 1e-6 for x, y in zip(a, b, strict=True)]
         return left.filter(pa.array(ok, pa.bool_()))
 
-    return _by_tile(tiled, nodes, "sketch", close, "tile long, a long, b long")
+    told = _needed(tiled).join(nodes, "node").select(F.col("tile").alias("at"), "node", "sketch")
+    return _by_tile(tiled, told, "sketch", close, "tile long, a long, b long")
 
 
 def _verified(tiled: DataFrame, sets: DataFrame, t: float) -> DataFrame:
@@ -356,7 +410,7 @@ def _verified(tiled: DataFrame, sets: DataFrame, t: float) -> DataFrame:
 
 
 def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` whose id is in ``ids`` (id, no repeats). A filter of ``FILTER_BITS`` at most keeps other texts where they
+    """``docs`` (id, text) joined to ``ids`` (id and more). A filter of ``FILTER_BITS`` at most keeps other texts where they
     are; what passes is joined exactly.
     """
     hashed = ids.select(F.xxhash64("id").alias("h"))
@@ -391,7 +445,7 @@ def _of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select([0, 1])
 
     passed = docs.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(keep, docs.select("id", "text").schema)
-    return passed.join(ids, "id", "left_semi")
+    return passed.join(ids, "id")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -422,9 +476,9 @@ def _joined(docs: DataFrame, t: float, n: int) -> tuple[DataFrame, DataFrame, Da
     # one sketch a node: copies in other partitions have the same
     sketches = members.filter("sketch IS NOT NULL").groupBy("node").agg(F.max("sketch").alias("sketch"))
     close = cut(_sketched(tiled, sketches, t))
-    wanted = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
-    held = cut(nodes.join(wanted, "node", "left_semi").select(F.col("first").alias("id")).distinct())
-    return members.select("id", "node").distinct(), nodes, cut(_verified(close, cut(_sets(_of(docs, held), n)), t))
+    wanted = _needed(close).groupBy("node").agg(F.collect_list("tile").alias("tiles"))
+    held = cut(nodes.join(wanted, "node").select(F.col("first").alias("id"), "node", "tiles"))
+    return members.select("id", "node").distinct(), nodes, cut(_verified(close, _sets(_of(docs, held), n), t))
 
 
 def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -96,23 +96,18 @@ def test_hot_keys_and_tiles_lose_nothing(spark, monkeypatch):
     for i in range(30):  # every two documents share a tile
         for j in range(i):
             assert set(N._tiles(keys[5:6], 3**i, np.array([30], np.uint8))[1].tolist()) & set(N._tiles(keys[5:6], 5**j, np.array([30], np.uint8))[1].tolist())
-    # a wholly sequential run of the same functions, as workers don't see monkeypatched constants of the driver's module
-    packed = [list(b) for b in zip(*[_row(g) for g in gram_sets(pa.array([x for _, x in rows]), 2)], strict=True)]
-    key, node, about = (np.concatenate(c) for c in packed)
-    order = np.argsort(key, kind="stable")
-    met = {(a, b) for batch in N._met([key[order], node[order], about[order]], THRESHOLD) for a, b in zip(*[c.to_pylist() for c in batch.columns], strict=True)}
+    # in this process, as workers don't see monkeypatched constants of the driver's module
+    counters = np.full(N.COUNTERS, 9, np.uint8)
+    columns = [np.concatenate(c) for c in zip(*[N.key_rows(g, N._node(g), THRESHOLD, counters) for g in gram_sets(pa.array([x for _, x in rows]), 2)], strict=True)]
+    order = np.argsort(columns[0], kind="stable")
+    columns = [c[order] for c in columns]
+    again = N.unpack(memoryview(N.pack(columns)), len(order))
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(columns, again, strict=True))
+    met = {(a, b) for batch in N._met(again, THRESHOLD) for a, b in zip(*[c.to_pylist() for c in batch.columns], strict=True)}
     nodes = {i: N._node(g) for (i, _), g in zip(rows, gram_sets(pa.array([x for _, x in rows]), 2), strict=True)}
     assert {tuple(sorted((nodes[a], nodes[b]))) for a, b in brute_pairs(rows) if nodes[a] != nodes[b]} <= met
 
 
-def _row(grams):
-    keys, place = N.prefix(grams, THRESHOLD)
-    before = np.concatenate([np.zeros(1, np.uint64), (keys[:-1] >> np.uint64(28)) | np.uint64(1)])
-    at, tile = N._tiles(keys, N._node(grams), np.full(len(keys), 9, np.uint8))
-    about = (np.uint64(len(grams) << 36) | before[at]).view(np.int64)
-    return ((tile & np.uint64(0xFFFFFFFFFFFF0000)) | (place[at] * 65535 // len(grams)).astype(np.uint64)).view(np.int64), np.full(len(at), N._node(grams)), about
-
-
 def test_sketch_distance_is_a_lower_bound():
     rng = np.random.default_rng(3)
     for size in (1, 5, 16, 17, 300, 2000):
