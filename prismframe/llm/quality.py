@@ -3,8 +3,10 @@
 Six statistics of each text are smoothed towards usual values (so that short texts don't scatter), transformed by log or
 logit, and compared by Mahalanobis distance with the minimum-covariance-determinant estimate of the document's language
 and source. The estimate is found by concentration steps over all documents: distances, their ``SUPPORT`` quantile per
-group, mean and covariance of the rows within it, until the determinant settles. Every step is a plain aggregation whose
-state is a row per group; starts are deterministic (median and MAD; tanh correlations) and the lower determinant wins.
+group, mean and covariance of the rows within it, until no determinant falls any more. Every step is a plain aggregation
+whose state is a row per group; starts are deterministic (median and MAD; tanh correlations) and the lower determinant
+wins. A group's estimate is then shrunk towards its language's, the language's towards that of all languages, and that
+towards usual text, each by ``PRIOR`` documents: groups of one document and of a billion are treated alike.
 """
 
 from __future__ import annotations
@@ -14,12 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, cut, drop_cut, table
+from .common import col, cut, table
 from .text_arrays import WORD_BYTES, Texts, byte_sizes
 
 #: Share of a group's documents whose covariance has the least determinant.
@@ -28,9 +31,10 @@ SUPPORT = 0.75
 FLOOR = 0.04
 #: A clean document of a normal group is rejected with this probability.
 REJECT = 1e-6
-#: Smaller groups are pooled by language, and then over languages; a pool that is smaller still rejects nothing.
-MIN_GROUP = 50
-MAX_STEPS = 15
+#: Documents that the next higher level counts as, when an estimate is shrunk towards it.
+PRIOR = 50.0
+#: A step that lowers a group's log determinant by less is its last.
+SETTLED = 1e-4
 #: Characters that each text's counts are padded with, at usual rates.
 PAD = 100.0
 #: Bytes of text worked on at once.
@@ -74,16 +78,16 @@ def statistics(texts: pa.Array) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros((0, P))
 
 
-def with_statistics(docs: DataFrame, text_col: str, keep: list[str], prefix: str) -> DataFrame:
-    """The ``keep`` columns and ``{prefix}0``.. of every row."""
-    names = [f"{prefix}{i}" for i in range(P)]
-    read = docs.select(*[col(c) for c in keep], col(text_col).cast("string").alias(f"{prefix}text"))
-    schema = T.StructType([read.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in names])
+def with_statistics(docs: DataFrame, keep: list[str], lang: Column, source: Column, text_col: str) -> DataFrame:
+    """``row`` (a struct of the ``keep`` columns), ``lang``, ``source`` and ``x0``.. of every row."""
+    own = text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType)  # then the text travels once
+    read = docs.select(F.struct(*[col(c) for c in keep]).alias("row"), lang.alias("lang"), source.alias("source"), *([] if own else [col(text_col).cast("string").alias("text")]))
+    schema = T.StructType([read.schema[c] for c in ("row", "lang", "source")] + [T.StructField(f"x{i}", T.DoubleType()) for i in range(P)])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            x = statistics(batch.column(len(keep)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(np.ascontiguousarray(x[:, i])) for i in range(P)]], names=schema.names)
+            x = statistics(pc.struct_field(batch.column(0), [keep.index(text_col)]) if own else batch.column(3))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(np.ascontiguousarray(x[:, i])) for i in range(P)]], names=schema.names)
 
     return read.mapInArrow(batches, schema)
 
@@ -116,32 +120,77 @@ CUTOFF = chi2_quantile(1 - REJECT, P)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
 
+_PARAMS = pa.schema([("g", pa.string()), ("start", pa.int32()), ("n", pa.int64()), ("mu", pa.list_(pa.float64())), ("cov", pa.list_(pa.float64())), ("inv", pa.list_(pa.float64())), ("logdet", pa.float64())])
+_SHAPE = "g string, start int, n long, mu array<double>, cov array<double>, inv array<double>, logdet double"
+
+
+def square(upper: list[float]) -> np.ndarray:
+    out = np.zeros((P, P))
+    for (i, j), v in zip(PAIRS, upper, strict=True):
+        out[i, j] = out[j, i] = v
+    return out
+
+
+def inverse(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(covariance, its inverse, log determinant), the least eigenvalues lifted to ``FLOOR``."""
+    w, v = np.linalg.eigh(cov)
+    w = np.maximum(w, FLOOR)
+    return (v * w) @ v.T, (v / w) @ v.T, float(np.log(w).sum())
+
+
 def _params(moments: DataFrame, scale: float) -> DataFrame:
-    """Per (g, start): mean, inverse covariance (upper triangle), log determinant, from count, sums and products."""
-    schema = "g string, start int, n long, mu array<double>, inv array<double>, logdet double"
+    """Per (g, start): mean, covariance and its inverse (upper triangles), log determinant, from count, means and products."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             d = batch.to_pydict()
-            out: dict[str, list] = {k: [] for k in ("g", "start", "n", "mu", "inv", "logdet")}
-            for r in range(batch.num_rows):
-                n, mu = d["n"][r], np.array(d["mu"][r])
-                cov = np.zeros((P, P))
-                for (i, j), v in zip(PAIRS, d["products"][r], strict=True):
-                    cov[i, j] = cov[j, i] = v
-                cov = scale * cov * (n / max(1, n - 1)) + FLOOR * np.eye(P)
-                # products of tanh scores need not be a covariance: lift its least eigenvalues
-                w, v = np.linalg.eigh(cov)
-                w = np.maximum(w, FLOOR)
-                inv = (v / w) @ v.T
-                for k, x in (("g", d["g"][r]), ("start", d["start"][r]), ("n", n), ("mu", mu.tolist()), ("inv", [inv[i, j] for i, j in PAIRS]), ("logdet", float(np.log(w).sum()))):
+            out: dict[str, list] = {k: [] for k in _PARAMS.names}
+            for g, start, n, mu, products in zip(*(d[k] for k in ("g", "start", "n", "mu", "products")), strict=True):
+                # products of tanh scores need not be a covariance: its least eigenvalues are lifted
+                cov, inv, logdet = inverse(scale * square(products) * (n / max(1, n - 1)) + FLOOR * np.eye(P))
+                for k, x in zip(_PARAMS.names, (g, start, n, mu, [cov[p] for p in PAIRS], [inv[p] for p in PAIRS], logdet), strict=True):
                     out[k].append(x)
             yield pa.RecordBatch.from_pydict(out, schema=_PARAMS)
 
-    return moments.mapInArrow(batches, schema)
+    return moments.mapInArrow(batches, _SHAPE)
+
+
+def shrink(n: float, mu: np.ndarray, cov: np.ndarray, above: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of a mixture of ``n`` documents and ``PRIOR`` of the level above."""
+    w, between = n / (n + PRIOR), mu - above[0]
+    return w * mu + (1 - w) * above[0], w * cov + (1 - w) * above[1] + w * (1 - w) * np.outer(between, between)
 
 
-_PARAMS = pa.schema([("g", pa.string()), ("start", pa.int32()), ("n", pa.int64()), ("mu", pa.list_(pa.float64())), ("inv", pa.list_(pa.float64())), ("logdet", pa.float64())])
+def usual() -> tuple[np.ndarray, np.ndarray]:
+    """What text without any is taken for, with unit variances."""
+    return statistics(pa.array([""], pa.string()))[0], np.eye(P)
+
+
+def _shrunk(groups: DataFrame, known: DataFrame) -> DataFrame:
+    """(lang, source, mu, inv) of ``groups`` (lang, source, g, up, n, m): their estimates after shrinking. ``n``, ``m``: documents
+    of the group and of its language.
+    """
+    flat = known.select("g", "n", *[F.col("mu")[i].alias(f"m{i}") for i in range(P)], *[(F.col("cov")[k] + F.col("mu")[i] * F.col("mu")[j]).alias(f"c{k}") for k, (i, j) in enumerate(PAIRS)])
+    langs = groups.select(F.col("up").alias("g"), "m").distinct().join(flat.drop("n"), "g")
+    mean = [(F.sum(F.col(c) * F.col("m")) / F.sum("m")).alias(c) for c in [f"m{i}" for i in range(P)] + [f"c{k}" for k in range(len(PAIRS))]]
+    top = cut(langs.agg(F.sum("m").alias("all"), *mean)).select("all", F.array(*[f"m{i}" for i in range(P)]).alias("all_mu"), F.array(*[f"c{k}" for k in range(len(PAIRS))]).alias("all_products"))
+    side = known.select("g", "mu", "cov")
+    both = groups.join(side, "g").join(side.select(F.col("g").alias("up"), F.col("mu").alias("up_mu"), F.col("cov").alias("up_cov")), "up").crossJoin(top)
+    schema = T.StructType([groups.schema["lang"], groups.schema["source"], T.StructField("mu", T.ArrayType(T.DoubleType())), T.StructField("inv", T.ArrayType(T.DoubleType()))])
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            mus, invs = [], []
+            for r in batch.to_pylist():
+                mu = np.array(r["all_mu"])
+                top = shrink(r["all"], mu, square(r["all_products"]) - np.outer(mu, mu), usual())
+                lang = shrink(r["m"], np.array(r["up_mu"]), square(r["up_cov"]), top)
+                mu, cov = shrink(r["n"], np.array(r["mu"]), square(r["cov"]), lang)
+                mus.append(mu.tolist())
+                invs.append([inverse(cov)[1][p] for p in PAIRS])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("source"), pa.array(mus, pa.list_(pa.float64())), pa.array(invs, pa.list_(pa.float64()))], names=schema.names)
+
+    return both.select("lang", "source", "n", "m", "mu", "cov", "up_mu", "up_cov", "all", "all_mu", "all_products").mapInArrow(batches, schema)
 
 
 def distance(prefix: str) -> Column:
@@ -172,16 +221,12 @@ def _key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(groups, estimates): ``lang``, ``source`` -> ``g``, and per ``g`` ``n`` rows used, ``mu``, ``inv``, ``logdet``."""
-    read = docs.select(_key(col(lang_col)).alias("lang"), _key(col(source_col)).alias("source"), col(text_col).alias("text"))
-    stats = cut(with_statistics(read, "text", ["lang", "source"], "x"))
-    sizes = stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = F.sum(F.when(F.col("n") < MIN_GROUP, F.col("n")).otherwise(0)).over(W.partitionBy("lang"))
-    own = F.to_json(F.struct("lang", "source"))
-    g = F.when(F.col("n") >= MIN_GROUP, own).when(small >= MIN_GROUP, F.to_json(F.struct("lang"))).otherwise("rest")
-    groups = cut(sizes.withColumn("g", g).select("lang", "source", "g"))
-    rows = stats.join(groups, ["lang", "source"]).select("g", *[f"x{i}" for i in range(P)])
+def fit(stats: DataFrame) -> DataFrame:
+    """(lang, source, mu, inv): the shrunk estimate of every language and source in ``stats`` (lang, source, x0..)."""
+    own, up = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
+    sizes = cut(stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")))
+    groups = sizes.join(sizes.groupBy("lang").agg(F.sum("n").alias("m")), "lang").select("lang", "source", own.alias("g"), up.alias("up"), "n", "m")
+    rows = stats.select(F.explode(F.array(own, up)).alias("g"), *[f"x{i}" for i in range(P)])
     middle = [F.percentile_approx(f"x{i}", F.lit(0.5), F.lit(10_000)) for i in range(P)]
     medians = cut(rows.groupBy("g").agg(*[m.alias(f"m{i}") for i, m in enumerate(middle)]))
     spreads = [F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5), F.lit(10_000)) * 1.4826 for i in range(P)]
@@ -200,38 +245,36 @@ def fit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", tex
     for _ in range(2):
         params = _step(rows, params)
     best = F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))
-    params = cut(params.withColumn("b", best).filter("b = 1").drop("b"))
-    for _ in range(MAX_STEPS):
-        after = _step(rows, params)
-        moved = params.join(after.select("g", F.col("logdet").alias("next")), "g").agg(F.max(F.abs(F.col("next") - F.col("logdet")))).first()[0]
-        params = after
-        if moved is None or moved < 1e-4:
+    moving, settled = cut(params.withColumn("b", best).filter("b = 1").drop("b")), []
+    while True:  # every round lowers each remaining determinant by SETTLED, and none falls below that of FLOOR
+        now = moving.join(_step(rows, moving).select("g", F.struct("n", "mu", "cov", "inv", "logdet").alias("after")), "g")
+        fell = F.col("after.logdet") < F.col("logdet") - SETTLED
+        both = cut(now.select("g", "start", F.when(F.col("after.logdet") < F.col("logdet"), F.col("after")).otherwise(F.struct("n", "mu", "cov", "inv", "logdet")).alias("to"), fell.alias("fell")).select("g", "start", "to.*", "fell"))
+        settled.append(both.filter("NOT fell").drop("fell"))
+        moving = both.filter("fell").drop("fell")
+        if moving.isEmpty():
             break
-    params = _step(rows, params, CONSISTENCY)
-    used = params.select("g", "n", "mu", "inv", "logdet")
-    drop_cut(stats)
-    return groups, used
+    known = settled[0]
+    for more in settled[1:]:
+        known = known.unionByName(more)
+    return cut(_shrunk(groups, _step(rows, known, CONSISTENCY)))
 
 
 def score(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (all by default) of every row, as a struct ``row``, with ``distance2`` and ``rejected``.
 
     Null languages and sources are groups of their own. A null or empty text has the usual statistics, so it is far
-    only from groups that are unusual. Groups of fewer than ``MIN_GROUP`` are pooled by language, then over languages; a
-    pool below it has distance null and rejects nothing, as does an empty table. Repeated rows weigh each. Columns may
-    have any names.
+    only from groups that are unusual. A very long text is used whole, in slices. Repeated rows weigh each and get the same
+    verdict; rows that tie at the quantile are all within it. An empty table gives an empty one. Columns may have any
+    names. Statistics are computed once: they are written with the ``keep`` columns, and the verdict is read from there.
     """
-    keep = docs.columns if keep is None else keep
-    groups, params = fit(docs, lang_col, source_col, text_col)
-    packed = docs.select(F.struct(*[col(c) for c in keep]).alias("row"), _key(col(lang_col)).alias("lang"), _key(col(source_col)).alias("source"), col(text_col).alias("text"))
-    stats = with_statistics(packed, "text", ["row", "lang", "source"], "x")
-    by_group = cut(groups.join(params, "g", "left").select("lang", "source", "n", "mu", "inv"))
-    far = F.when(F.col("n") >= int(MIN_GROUP * SUPPORT), distance("x"))
-    return stats.join(by_group, ["lang", "source"], "left").select("row", far.alias("distance2")).withColumn("rejected", F.coalesce(F.col("distance2") > CUTOFF, F.lit(False)))
+    stats = cut(with_statistics(docs, docs.columns if keep is None else keep, _key(col(lang_col)), _key(col(source_col)), text_col))
+    params = fit(stats)
+    return stats.join(params, ["lang", "source"]).select("row", distance("x").alias("distance2")).withColumn("rejected", F.col("distance2") > CUTOFF)
 
 
 def reject_outliers(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``score`` does not reject."""
+    """The rows of ``docs`` that ``score`` does not reject, with nulls, ties and the like as there."""
     kept = score(docs, lang_col, source_col, text_col).filter(~F.col("rejected"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
