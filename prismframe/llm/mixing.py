@@ -145,9 +145,12 @@ WEIGHTS = {("web",): 0.4, ("reference",): 0.25, ("forums",): 0.1, ("news",): 0.2
 
 
 def mix_documents(docs: DataFrame, epoch_col: str | None = "epoch") -> DataFrame:
+    """``docs`` mixed by ``WEIGHTS`` to as many words as they have. Null and empty texts have no words: they come along with
+    their leaf's epochs. Nulls, ties, repeated rows, empty tables and clashing names as in ``mix``; long texts are counted
+    whole.
+    """
     return mix(docs, WEIGHTS, domain_of(F.col("source")), words(F.col("text")), epoch_col=epoch_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", words(F.col("text")).alias("n_words"))
-    return mix(docs, WEIGHTS, domain_of(F.col("source")), F.col("n_words"), text_col="n_words")
+    return mix_documents(table(spark, sf_dir, "documents"))

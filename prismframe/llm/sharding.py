@@ -4,7 +4,7 @@ Groups of equal size are interchangeable, so the sequential part runs on the his
 distinct values, whatever the number of groups): largest size first, each item into the open shard with the tightest
 remaining capacity, found in a balanced tree keyed by remaining capacity; shards with equal remainders are handled as
 runs. What comes back is a short list of rank intervals per size, which the groups join by size and rank. Nothing but
-sizes and counts reaches the driver.
+sizes and counts reaches the driver: with the capacity of 8 MB at most 8,388,608 sizes and those above it, 16 bytes each.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import col, table
+from .common import col, cut, table
 
 #: Ranks are counted within this many hash slices of each size, so that a size shared by very many groups is no single task.
 SLICES = 64
@@ -117,13 +117,14 @@ def shard(docs: DataFrame, capacity: int, group: Column, size: Column) -> DataFr
     ``group`` names the indivisible groups (null is a group like any other), ``size`` a row's size in the units of
     ``capacity`` (null or negative: 0). Rows of a group always share a shard. A group above ``capacity`` has a shard of
     its own. Groups of equal size rank by a hash of their name: the result depends on the rows and not on their order.
-    Repeated rows count each; an empty table gives an empty one.
+    Repeated rows count each; an empty table gives an empty one. Rows are read twice: once for the table of groups, which
+    all that follows reads, and once to join their shard.
     """
     spark = docs.sparkSession
     name = F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit("null"))
     key = F.unhex(F.md5(name))
     rows = docs.select(key.alias("g"), F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias("s"))
-    groups = rows.groupBy("g").agg(F.sum("s").alias("s")).withColumn("slice", F.pmod(F.xxhash64("g"), F.lit(SLICES)))
+    groups = cut(rows.groupBy("g").agg(F.sum("s").alias("s")).withColumn("slice", F.pmod(F.xxhash64("g"), F.lit(SLICES))))
     counts = groups.groupBy("s", "slice").agg(F.count(F.lit(1)).alias("n"))
     histogram = counts.groupBy("s").agg(F.sum("n").alias("n")).toPandas()
     plan = pack_histogram([(int(s), int(n)) for s, n in histogram.itertuples(index=False)], capacity)
@@ -145,10 +146,13 @@ CAPACITY = 8 << 20
 
 
 def shard_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Exact copies of a text are one indivisible group; its size is their bytes of UTF-8."""
-    return shard(docs, capacity, F.sha2("text", 256), F.octet_length("text"))
+    """``docs`` with ``shard_id``. Exact copies of a text are one indivisible group; its size is their bytes of UTF-8.
+
+    Null texts are one group of size 0, as are empty ones; a text longer than ``capacity`` has a shard of its own with its
+    copies. Repeated rows, empty tables and clashing names as in ``shard``.
+    """
+    return shard(docs, capacity, F.col("text"), F.octet_length("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("content"), F.octet_length("text").cast("long").alias("n_bytes"))
-    return shard(docs, CAPACITY, F.col("content"), F.col("n_bytes")).select("doc_id", "n_bytes", "shard_id")
+    return shard_documents(table(spark, sf_dir, "documents"))

@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from prismframe.llm.sharding import Treap, pack_histogram, shard
+from prismframe.llm.sharding import Treap, pack_histogram, query, shard, shard_documents
 
 
 def brute(sizes, capacity):
@@ -76,3 +76,25 @@ def test_edges(spark):
     by = {r.g: r.shard_id for r in got.collect()}
     assert by["big"] != by[None]
     assert shard(df.filter("false"), 60, F.col("g"), F.col("n")).count() == 0
+
+
+def test_documents(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "same text", "x"), (4, "same text", "x"), (4, "same text", "x"), (None, "é" * 30, "x"), (5, None, "x"), (6, "w" * 5000, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard_id string")
+    out = shard_documents(df, 64)
+    got = out.collect()
+    assert out.columns == ["doc_id", "text", "shard_id"] and len(got) == len(rows)
+    total, where = Counter(), {}
+    for r in got:
+        assert where.setdefault(r.text, r.shard_id) == r.shard_id
+        total[r.shard_id] += len((r.text or "").encode())
+    assert where["w" * 5000] not in {v for k, v in where.items() if k != "w" * 5000}
+    assert Counter(64 - t for t in total.values()) == brute([0, 0, 27, 60, 5000], 64)
+    assert shard_documents(df.filter("false")).count() == 0
+
+
+def test_query_keeps_whole_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = query(spark, "/root/testdata/sf0.001")
+    assert out.columns == [*docs.columns, "shard_id"]
+    assert sorted(tuple(r)[:-1] for r in out.collect()) == sorted(map(tuple, docs.collect()))
