@@ -2,62 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.session import drop_checkpoint as drop_cut
+from ..plans.session import shared_checkpoint as cut
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session (tests) gets a temporary folder when the setting is absent; on a cluster that is an error,
-    since a machine-local folder would be lost with its executor.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path
-    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if chosen.isDefined():
-        return chosen.get()
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = "file://" + tempfile.mkdtemp(prefix="prismframe-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
+__all__ = ["col", "cut", "drop_cut", "table"]
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that its lineage ends there and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
-
-def drop_cut(df: DataFrame) -> None:
-    """Delete a table made by ``cut`` that nothing lazy still reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def col(name: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
-
-
-def type_of(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` in bytes, the number that broadcast decisions are checked against."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())

@@ -147,7 +147,9 @@ def contamination(
 
     Texts are compared normalised; the budget is ``error_rate`` of the item's normalised length, rounded down; distance
     is the least over all places. Null, empty and symbol-only texts match nothing, on either side. Repeated rows and
-    repeated items give a result row each; ids may be null. Other columns are not read. A map, without a shuffle.
+    repeated items give a result row each; ids may be null. Empty tables, on either side, give no rows; very long texts are
+    searched whole; of places that tie the distance is the same. Other columns are not read, so no names clash. A map,
+    without a shuffle.
     """
     picked = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     item_type = benchmark.schema[item_col].dataType
@@ -186,7 +188,9 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", chars_a_pass: int = CHARS_A_PASS,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no item occurs (see ``contamination``). Null texts stay."""
+    """The rows of ``docs``, all columns, in which no item occurs (see ``contamination``). Null and empty texts stay, as does
+    everything when there are no items; repeated rows stay or go together.
+    """
     where = docs.columns.index(text_col)
 
     def clean(name, shared):

@@ -278,8 +278,9 @@ def extract_content(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     """Per page: id, ``text`` (content blocks joined by newlines), ``n_blocks``, ``n_kept``.
 
     Null HTML gives a null text and no blocks; empty or tag-only HTML an empty text. Of equally cheap labellings the
-    one with the fewest content blocks holds. Repeated rows give a row each; ids may be null; other columns are not
-    read. A map, without a shuffle, after the classifier's sample.
+    one with the fewest content blocks holds. Repeated rows give a row each; ids may be null; an empty table gives an empty
+    one; very long pages are cut as one graph. Other columns are not read, so no names clash. A map, without a shuffle,
+    after the classifier's sample.
     """
     weights = fit_classifier(pages, id_col, html_col) if weights is None else weights
     picked = pages.select(col(id_col).alias("id"), col(html_col).cast("string").alias("html"))

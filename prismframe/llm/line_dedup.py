@@ -43,7 +43,8 @@ def drop_boilerplate_lines(
     A line is dropped from every page of a host if at least ``min_pages`` pages of that host carry it and they are more
     than ``max_ratio`` of the host's pages. Repeats inside one page count once. Rows are pages: repeated rows count as
     pages of their own and all come back. A URL without host (or null) forms the group of its own "" host. Null HTML is
-    an empty page, which counts in the host's total. Ids may be null or repeated. Other columns are not read.
+    an empty page, which counts in the host's total. Ids may be null or repeated. An empty table gives an empty one; very
+    long pages are used whole. A share of exactly ``max_ratio`` stays. Other columns are not read, so no names clash.
     """
     lines = html_lines(col(html_col)) if lines is None else lines
     host = host_of(col(url_col)) if host is None else host

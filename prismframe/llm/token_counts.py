@@ -29,7 +29,13 @@ REMEMBERED_WORDS = 800_000
 
 
 def default_model() -> str:
-    """The public piece vocabulary on this machine."""
+    """The public piece vocabulary on this machine. It is a BPE model: its scores are ranks of merges, read here as those of
+    a unigram vocabulary, since no public tokenizer at hand is of that kind.
+    """
+    from importlib.util import find_spec
+
+    if find_spec("public_tokenizers") is None:
+        raise FileNotFoundError("no vocabulary: give model_path, a sentencepiece file")
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
@@ -128,8 +134,10 @@ def token_counts(
 ) -> DataFrame:
     """One row per input row: ``id_col`` and ``n_tokens`` (BIGINT).
 
-    A null text counts as null, an empty one as 0. Repeated rows are counted each; a null id stays null; other columns
-    are never read, so their names cannot clash. No shuffle: a map over the two columns, linear in the text.
+    A null text counts as null, an empty one as 0; an empty table gives an empty one. Repeated rows are counted each; a null
+    id stays null; other columns are never read, so their names cannot clash. Very long texts are counted whole, word by
+    word. Ties go to the piece that starts first. Texts are not normalised (no NFKC, no collapsing of spaces). No shuffle: a
+    map over the two columns, linear in the text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
     picked = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))

@@ -66,7 +66,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", ur
 
     ``listed`` holds URLs in any form; they are made canonical and distinct first. Null and empty URLs match nothing, on
     either side. Repeated page rows all come back. An empty list gives no rows. ``keys_a_block`` 16 with 8 bits each in
-    256 bits lets about 3 in 1,000 unlisted URLs through to the exact join. Other columns are not read.
+    256 bits lets about 3 in 1,000 unlisted URLs through to the exact join. An empty table gives an empty one; very long URLs
+    are used whole; of URLs with one canonical form all match. Other columns are not read, so no names clash.
     """
     keys = cut(listed.select(canonical_url(col(listed_col)).alias("canonical")).filter("canonical <> ''").distinct())
     n_blocks = max(1, keys.count() // keys_a_block)

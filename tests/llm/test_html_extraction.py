@@ -78,3 +78,9 @@ def test_optional_end_tags():
     for page in ("<html><head><title>T</title><meta charset=utf-8><body><p>One<div>Two</div>", "<head><title>T</title><p>One<hr>Two"):
         assert [b.text for b in blocks(page)] == ["One", "Two"]
     assert [b.depth for b in blocks("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>")] == [1, 3, 3, 1, 1]
+
+
+def test_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "<p>" + "some words of content here " * 9 + "</p>", 5, "n"), (2, None, 5, "n")], "page_id long, html string, n_blocks long, n_kept string")
+    got = extract_content(pages, weights=DEFAULT_WEIGHTS)
+    assert got.columns == ["page_id", "text", "n_blocks", "n_kept"] and [r.n_blocks for r in got.orderBy("page_id").collect()] == [1, 0]

@@ -3,6 +3,8 @@ import pytest
 
 import __spark_entry__ as E
 
+from .test_near_duplicates import brute_pairs
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -24,12 +26,6 @@ def test_columns_and_order(stages):
 
 
 def test_decisions_take_effect(stages):
-    import sys
-    from pathlib import Path
-
-    sys.path.insert(0, str(Path(__file__).parent))
-    from test_near_duplicates import brute_pairs
-
     _, before, after = stages[1]
     kept = {r.doc_id for r in after.collect()}
     assert not [p for p in brute_pairs([(r.doc_id, r.text) for r in after.collect()])]
@@ -52,3 +48,25 @@ def test_quality_keeps_clean_documents(spark, stages):
 def test_registered():
     q = E.queries()
     assert "pipeline" in q and {n.split("_")[0] for n in q if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+
+
+ROWS = [
+    (1, None, None, None, None, "x"), (None, "", "en", "src1", 0, "x"), (2, "a few plain words that say nothing", "en", "src1", 34, "x"), (2, "a few plain words that say nothing", "en", "src1", 34, "x"),
+    (3, "a few plain words that say nothing", "en", "src1", 34, "x"), (4, "w " * 40000, "en", None, 1, "x"), (5, None, "de", "odd", None, "x"), (6, "***", "en", "src2", 3, "x"),
+]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in C.STAGES])
+def test_edges_of_every_stage(spark, name):
+    stage = dict(C.STAGES)[name]
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, n_chars long, node string")
+    out = stage(spark, docs, SF)
+    assert out.columns == docs.columns + (["shard_id"] if name == "sharding" else [])
+    got = [tuple(r)[:6] for r in out.collect()]
+    assert set(got) <= set(ROWS)
+    if name == "n-gram Jaccard join":
+        assert sorted(map(repr, got)) == sorted(map(repr, [r for r in dict.fromkeys(ROWS) if r[0] != 3]))
+    elif name in ("benchmark decontamination", "sharding"):
+        assert sorted(map(repr, got)) == sorted(map(repr, ROWS))
+    none = stage(spark, docs.filter("false"), SF)
+    assert none.columns == out.columns and none.count() == 0

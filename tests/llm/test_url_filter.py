@@ -47,3 +47,10 @@ def test_edges(spark):
     got = [r.page_id for r in filter_urls(pages, listed).collect()]
     assert sorted(map(str, got)) == ["3", "3", "5", "None"]
     assert filter_urls(pages, listed.filter("false")).count() == 0 and filter_urls(pages.filter("false"), listed).count() == 0
+
+
+def test_clashing_names_and_empty_pages(spark):
+    pages = spark.createDataFrame([(1, "http://A.org/x", "c", 7), (2, None, "c", 7), (3, "", "c", 7)], "page_id long, url string, canonical string, w0 long")
+    listed = spark.createDataFrame([("HTTP://a.org/x", "k")], "url string, block string")
+    assert [r.page_id for r in filter_urls(pages, listed).collect()] == [1]
+    assert filter_urls(pages.filter("false"), listed).count() == 0 and filter_urls(pages, listed.filter("false")).count() == 0
