@@ -75,3 +75,22 @@ def cached(rows: DataFrame, text: str, cache: str, function: Callable[[list[str]
     missing.mapInArrow(run, shape).write.mode("append").parquet(cache)
     every = spark.read.schema(shape).parquet(cache).groupBy("h").agg(F.first("result").alias(name))
     return rows.withColumn("h_", F.sha2(F.col(text), 256)).join(every, F.col("h_") == F.col("h"), "left").drop("h", "h_")
+
+
+def checkpointed(rows: DataFrame, key: str, path: str, work: Callable[[DataFrame], DataFrame], every: int = 200) -> DataFrame:
+    """``work`` of ``rows`` in slices of about ``every``, each written to the folder ``path`` before the next begins.
+
+    A run that was broken off goes on with the keys that the folder lacks. ``work`` keeps ``key``; rows without key are left
+    out. For costly calls per row, as of bodies over the network: slices are jobs, so ``every`` grows with the rows.
+    """
+    spark, rows = rows.sparkSession, rows.filter(F.col(key).isNotNull())
+    shape = work(rows.limit(0)).schema
+    spark.createDataFrame([], shape).write.mode("append").parquet(path)
+
+    def left() -> DataFrame:
+        return rows.join(spark.read.schema(shape).parquet(path).select(key).distinct(), key, "left_anti")
+
+    slices = -(-left().count() // every)
+    for i in range(slices):
+        work(left().filter(F.pmod(F.xxhash64(key), F.lit(slices)) == i)).write.mode("append").parquet(path)
+    return spark.read.schema(shape).parquet(path)

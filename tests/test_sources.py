@@ -97,6 +97,32 @@ def test_encoder_and_cache(spark, tmp_path):
     assert Counter(log.read_text().split("\n")) == Counter(["a b c", "a b d", "x y", "new", ""])
 
 
+def test_broken_runs_go_on(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(50)] + [(None, "x")], "id long, t string")
+    path, log = f"file://{tmp_path}/done", tmp_path / "log"
+
+    def work(part, fail=False):
+        def run(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                if fail and any(i > 40 for i in b.column(0).to_pylist()):
+                    raise ValueError("broken off")
+                with log.open("a") as f:
+                    f.writelines(f"{i}\n" for i in b.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["id", "t"])
+
+        return part.mapInArrow(run, "id long, t string")
+
+    with pytest.raises(Exception, match="broken off"):
+        encoding.checkpointed(df, "id", path, lambda d: work(d, True), 10)
+    kept = spark.read.parquet(path).count()
+    out = encoding.checkpointed(df, "id", path, work, 10)
+    assert sorted(r.id for r in out.collect()) == list(range(50)) and kept < 50
+    ran = Counter(log.read_text().split())
+    assert set(ran) == {str(i) for i in range(50)}
+
+
 def test_functions_by_name(spark):
     register(spark)
     r = spark.sql("SELECT erfc(1.0D) AS e, t_tail(2.0D, 10.0D) AS t, quotes('Ann Lee said: \"we go now\".')[0].speaker AS s").first()
@@ -143,8 +169,11 @@ def test_counters(spark):
 def test_streams_end_in_the_shared_folder(spark, tmp_path):
     from prismframe.streaming import first_seen as FS
 
-    spark.range(5).select(F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("ts"), (F.col("id") % 2).alias("k"), "id").write.parquet(f"{tmp_path}/in")
+    later = F.when(F.col("id") == 5, 3 * 86400).otherwise(0)  # beyond the day that keys are remembered for
+    spark.range(6).select(F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000 + later).alias("ts"), (F.col("id") % 2).alias("k"), "id").write.parquet(f"{tmp_path}/in")
     s = spark.readStream.schema("ts timestamp, k long, id long").parquet(f"{tmp_path}/in")
     out = FS.drain(FS.flag_repeats(s, "ts", "k", "id", days=1), "t")
-    assert sorted((r.id, r.is_repeat) for r in out.collect()) == [(0, False), (1, False), (2, True), (3, True), (4, True)]
+    assert sorted((r.id, r.is_repeat) for r in out.collect()) == [(0, False), (1, False), (2, True), (3, True), (4, True), (5, False)]
+    sessions = FS.drain(FS.sessions(s, "ts", ["k"]), "sessions")
+    assert sorted((r.k, r.n) for r in sessions.collect()) == [(0, 3), (1, 2)]  # the last one is still open
     assert out.inputFiles() and "memory" not in out._jdf.queryExecution().analyzed().toString().lower()
