@@ -78,15 +78,19 @@ _YEAR = re.compile(r"(?=((?:19|20)[0-9]{2}))")
 
 def load_words(path: str) -> list[str]:
     """Words by rank from a file: one a line (what follows white space is ignored), or the words of a ``.tiktoken``
-    vocabulary, whose merges are ranked by frequency.
+    vocabulary, whose merges are ranked by frequency. A file without words, or a line of a vocabulary that is not base64,
+    is an error: a shorter dictionary would raise ``guess_bits`` and look like a result.
     """
     with Path(path).open("rb") as lines:
         if path.endswith(".tiktoken"):
-            pieces = (base64.b64decode(line.split()[0]).decode("utf-8", "ignore") for line in lines)
+            pieces = (base64.b64decode(line.split()[0], validate=True).decode("utf-8", "ignore") for line in lines)
             found = (p[1:].lower() for p in pieces if p.startswith(" ") and p[1:].isalpha())
         else:
             found = (line.decode("utf-8", "ignore").split()[0].lower() for line in lines if line.strip())
-        return list(dict.fromkeys(w for w in found if len(w) >= 3))
+        words = list(dict.fromkeys(w for w in found if len(w) >= 3))
+    if not words:
+        raise ValueError(f"no words of three letters or more in {path}")
+    return words
 
 
 def automaton(words: Sequence[str] = WORDS) -> ahocorasick.Automaton:
@@ -342,11 +346,13 @@ def scan_secrets(
 
 
 def public_words() -> list[str]:
-    """The built-in list, then the words of the public tokenizer vocabulary on this machine, if there is one."""
+    """The built-in list, then the words of the public tokenizer vocabulary on this machine. Without one there is no result:
+    the built-in list alone gives other prices for the same values.
+    """
     from importlib.util import find_spec
 
     if find_spec("public_tokenizers") is None:
-        return WORDS
+        raise FileNotFoundError("no vocabulary: give scan_secrets words, load_words of a file or the built-in WORDS")
     import public_tokenizers
 
     return list(dict.fromkeys([*WORDS, *load_words(public_tokenizers.path("byte_bpe_50k.tiktoken"))]))

@@ -1,10 +1,12 @@
 import math
 import random
 import re
+import sys
+from types import SimpleNamespace
 
 import pytest
 
-from prismframe.llm.secrets import THIS_YEAR, WORDS, automaton, guess_bits, load_words, repetitions, scan_secrets, split_context
+from prismframe.llm.secrets import THIS_YEAR, WORDS, automaton, guess_bits, load_words, public_words, query, repetitions, scan_secrets, split_context
 
 KEYBOARD = [list("`1234567890-="), list("qwertyuiop[]\\"), list("asdfghjkl;'"), list("zxcvbnm,./")]
 SHIFT = dict(zip('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./", strict=True))
@@ -106,6 +108,29 @@ def test_words_from_a_file(tmp_path):
     assert {"would", "other"} <= set(load_words(public.path("byte_bpe_50k.tiktoken")))
 
 
+def test_a_missing_dictionary_is_an_error(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "password=wouldother")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)  # as if it were not installed
+    with pytest.raises(FileNotFoundError, match="no vocabulary"):
+        public_words()
+    with pytest.raises(FileNotFoundError, match="no vocabulary"):
+        query(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("held", ["", "YWI= 0\n", "!!!! 0\nIHdvdWxk 1\n"], ids=["empty", "no words", "not base64"])
+def test_a_broken_dictionary_is_an_error(held, tmp_path, monkeypatch):
+    module = SimpleNamespace(path=lambda name: str(tmp_path / name), __spec__=SimpleNamespace(name="public_tokenizers"))
+    monkeypatch.setitem(sys.modules, "public_tokenizers", module)
+    (tmp_path / "byte_bpe_50k.tiktoken").write_text(held)
+    with pytest.raises(ValueError):
+        public_words()
+    (tmp_path / "byte_bpe_50k.tiktoken").write_text("IHdvdWxk 0\n")
+    assert public_words() == [*WORDS, "would"]
+    (tmp_path / "words.txt").write_text("\nab 1\n")
+    with pytest.raises(ValueError, match="no words"):
+        load_words(str(tmp_path / "words.txt"))
+
+
 def test_scan(spark):
     rows = [
         (1, 'x token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### and password=changeme2024, end', "z"), (2, "the password is lost; tokens: none", "z"), (3, None, "z"), (None, "", "z"),
