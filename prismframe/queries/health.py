@@ -199,5 +199,5 @@ def encoded_documents(spark, sf_dir):
     """Through the pluggable encoder, here word hashes; a model's encoder takes the same place."""
     from ..functions.vectors import norm
 
-    d = encoding.embed(read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    d = encoding.embed(read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text")
     return d.select("doc_id", F.size("embedding").alias("dims"), F.round(norm(F.col("embedding")), 6).alias("norm"))

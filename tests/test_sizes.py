@@ -21,3 +21,18 @@ def test_copies_of_a_title_are_one_class(spark, monkeypatch):
     assert sorted(map(tuple, dedup.similar_titles(df, "id", F.col("w"), digits=6).collect())) == sorted(want)
     classes = spark.createDataFrame([(0, list("abcde"), 15), (1, list("abcdef"), 4)], "c long, w array<string>, n long")
     assert [tuple(r) for r in dedup._similar_sets(classes, 0.6).collect()] == [(0, 1, 5 / 6)]
+
+
+def test_texts_with_words_have_weight(spark, tmp_path):
+    from prismframe.queries import QUERIES
+    from prismframe.sources.encoding import hashing_encoder
+
+    signed = {}
+    for i in range(2000):
+        v = hashing_encoder()([f"w{i}"])[0]
+        signed.setdefault(int(np.flatnonzero(v)[0]), {})[int(v.sum())] = f"w{i}"
+    cancelling = next(f"{x[1]} {x[-1]}" for x in signed.values() if len(x) == 2)
+    texts = [cancelling, "one two", "\n\t", " ", "", "  ", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.dims, r.norm) for r in QUERIES["encoded_documents"](spark, str(tmp_path)).collect()}
+    assert got == {0: (64, 1.0), 1: (64, 1.0), 2: (64, 1.0), 3: (64, 0.0), 4: (64, 0.0), 5: (64, 0.0), 6: (64, 0.0)}
