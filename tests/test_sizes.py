@@ -36,3 +36,20 @@ def test_texts_with_words_have_weight(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: (r.dims, r.norm) for r in QUERIES["encoded_documents"](spark, str(tmp_path)).collect()}
     assert got == {0: (64, 1.0), 1: (64, 1.0), 2: (64, 1.0), 3: (64, 0.0), 4: (64, 0.0), 5: (64, 0.0), 6: (64, 0.0)}
+
+
+def test_clusters_of_many_tiles_are_those_of_one_task(spark, monkeypatch):
+    from prismframe.operators import hdbscan, similarity
+
+    monkeypatch.setattr(similarity, "CELL_ROWS", 40)
+    rng = np.random.default_rng(4)
+    for n in (400, 3):
+        x = np.concatenate([c + 0.2 * rng.normal(size=(n // 4 + 1, 6)) for c in rng.normal(size=(4, 6))])[:n].astype(np.float32)
+        df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)] + [(i, v.tolist(), None) for i, v in enumerate(x[:9])], "id long, v array<float>, day int")
+        got = {(r.day, r.id): (r.cluster, r.persistence) for r in hdbscan.hdbscan(df, ["day"], "id", "v").collect()}
+        want = {}
+        for day, rows in ((1, x), (None, x[:9])):
+            labels, persistence = hdbscan.cluster_points(rows, 3)
+            want |= {(day, i): v for i, v in enumerate(zip(labels.tolist(), persistence.tolist(), strict=True))}
+        assert set(got) == set(want) and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) <= 1e-8 * want[k][1] for k in want)
+        assert similarity.blocked(df.selectExpr("day AS g", "id", "v").filter("g = 1")).select("block").distinct().count() == (10 if n > 3 else 1)
