@@ -40,8 +40,8 @@ def convergence(vectors: DataFrame, by: list[str], vector: str) -> DataFrame:
     return sums.groupBy(*by).agg(F.max("n").alias("n"), (F.sum(F.col("s") * F.col("s")) / (F.max("n") * F.max("n"))).alias("mean_similarity"))
 
 
-#: Vectors a cell holds about, rows of one side that a task multiplies, and blocks of either side that a large table is cut into.
-CELL_ROWS, BLOCK_ROWS, MOST_CELLS, BLOCKS = 1024, 8192, 4096, 16
+#: Rows that a block holds at least, an eighth of what it holds at most, and the blocks that tables between are cut into.
+CELL_ROWS, BLOCK_ROWS, BLOCKS = 1024, 8192, 16
 #: Rows whose products with the other side's a task holds at once.
 CHUNK_ROWS = 512
 
@@ -95,66 +95,63 @@ def tiled(placed: DataFrame, run, schema) -> DataFrame:
     return left.cogroup(right).applyInArrow(run, schema)
 
 
+def _near(u, v, eps: float):
+    """(first row, matrix of who is near) of the rows of ``u``, some at a time, against all of ``v``."""
+    for start in range(0, len(u) if len(v) else 0, CHUNK_ROWS):
+        yield start, 1 - u[start : start + CHUNK_ROWS] @ v.T <= eps
+
+
+def _placed(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
+    return blocked(vectors.select(F.lit(0).alias("g"), F.col(id_col).alias("id"), F.col(vector).alias("v")))
+
+
 def neighbours(vectors: DataFrame, id_col: str, vector: str, eps: float) -> DataFrame:
-    """Pairs (a, b), a <> b, of unit vectors with 1 - cosine <= ``eps``: exact, by cells and matrix products.
+    """Pairs (a, b), a <> b, of unit vectors with 1 - cosine <= ``eps``: exact, by matrix products in tiles of two blocks.
 
-    Every vector lives in the cell of its nearest pivot, and visits each cell whose pivot is no further from it, as an
-    angle, than the cell's radius plus that of ``eps``: by the triangle inequality all others hold none of its neighbours.
-    Pivots are the ``CELL_ROWS``-th part of the vectors by hash, ``MOST_CELLS`` at most (that many vectors reach the driver).
-    A cell and its visitors fall into tiles of ``BLOCK_ROWS`` rows a side. Null vectors have no neighbours.
+    All blocks meet: under radii at which vectors of many dimensions have neighbours at all, cells rule no blocks out, and
+    visits to cells are copies that grow by the square of the vectors. Null vectors have no neighbours.
     """
-    import math
+    import numpy as np
+    import pyarrow as pa
+
+    placed = _placed(vectors, id_col, vector)
+
+    def pairs(key, x: pa.Table, y: pa.Table) -> pa.Table:
+        i, j = [np.zeros(0, int)], [np.zeros(0, int)]
+        for start, near in _near(*(matrix(s) if len(s) else [] for s in (x, y)), eps):
+            at, to = np.nonzero(near)
+            i.append(at + start)
+            j.append(to)
+        one, other = x.column("id").take(pa.array(np.concatenate(i))), y.column("id").take(pa.array(np.concatenate(j)))
+        both = pa.table({"a": one, "b": other})
+        return both if key[1] == key[2] else pa.concat_tables([both, pa.table({"a": other, "b": one})])
 
+    id_type = placed.schema["id"].dataType.simpleString()
+    return tiled(placed, pairs, f"a {id_type}, b {id_type}").filter("a <> b")
+
+
+def neighbour_counts(vectors: DataFrame, id_col: str, vector: str, eps: float) -> DataFrame:
+    """(id, ``n``): how many ``neighbours`` each vector has that has any, summed up in the tiles: no pair leaves them."""
+    return _counts(_placed(vectors, id_col, vector), eps)
+
+
+def _counts(placed: DataFrame, eps: float) -> DataFrame:
     import numpy as np
+    import pandas as pd
     import pyarrow as pa
 
-    rows = shared_checkpoint(vectors.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull()))
-    k = min(MOST_CELLS, -(-rows.count() // CELL_ROWS))
-    if not k:
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    pivots = np.array([r.v for r in rows.orderBy(F.xxhash64("id"), "id").limit(k).collect()])
-    reach = math.acos(max(-1.0, 1 - eps))
-
-    def matrix(column: pa.Array) -> np.ndarray:
-        flat = column.flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(len(column), -1)
-
-    def home(batches):
-        for batch in batches:
-            angles = np.arccos(np.clip(matrix(batch.column(1)) @ pivots.T, -1, 1)) if len(batch) else np.zeros((0, k))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(angles.argmin(1), pa.int32()), pa.array(angles.min(1) if len(batch) else [], pa.float64())], names=["id", "v", "home", "angle"])
-
-    id_type = rows.schema["id"].dataType.simpleString()
-    homed = shared_checkpoint(rows.mapInArrow(home, f"id {id_type}, v array<double>, home int, angle double"))
-    radius = np.full(k, -math.inf)
-    for r in homed.groupBy("home").agg(F.max("angle").alias("angle")).collect():
-        radius[r.home] = r.angle + 1e-6  # rounding must not lose a pair
-
-    def visits(batches):
-        for batch in batches:
-            near = np.arccos(np.clip(matrix(batch.column(1)) @ pivots.T, -1, 1)) <= radius + reach if len(batch) else np.zeros((0, k), bool)
-            at, cell = np.nonzero(near)
-            lengths = np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(lengths), pa.array(cell, pa.int32()))], names=["id", "v", "home", "cells"])
-
-    seen = shared_checkpoint(homed.mapInArrow(visits, f"id {id_type}, v array<double>, home int, cells array<int>"))
-    residents = seen.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("h"))
-    guests = seen.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("g"))
-    sides = shared_checkpoint(residents.join(guests, "cell"))
-    block = F.xxhash64("id")
-    left = seen.select("id", "v", F.col("home").alias("cell")).join(sides, "cell").select("id", "v", "cell", F.pmod(block, "h").cast("long").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("j"))
-    guest = seen.select(F.col("id").alias("to"), F.col("v").alias("w"), F.explode("cells").alias("cell")).join(sides, "cell")
-    right = guest.select("to", "w", F.col("cell").alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("h") - 1)).alias("k"), F.pmod(F.xxhash64("to"), "g").cast("long").alias("l"))
-
-    def multiply(x: pa.Table, y: pa.Table) -> pa.Table:
-        empty = pa.table({"a": x.column("id").slice(0, 0), "b": y.column("to").slice(0, 0)})
-        if not len(x) or not len(y):
-            return empty
-        at, to = np.nonzero(1 - matrix(x.column("v").combine_chunks()) @ matrix(y.column("w").combine_chunks()).T <= eps)
-        return pa.table({"a": x.column("id").take(pa.array(at)), "b": y.column("to").take(pa.array(to))})
-
-    found = left.groupBy("cell", "i", "j").cogroup(right.groupBy("c", "k", "l")).applyInArrow(multiply, f"a {id_type}, b {id_type}")
-    return found.filter("a <> b")
+    def count(key, x: pa.Table, y: pa.Table) -> pa.Table:
+        same, left, right = key[1] == key[2], np.zeros(len(x), int), np.zeros(len(y), int)
+        one, other = np.split(pd.factorize(pd.concat([s.column("id").to_pandas() for s in (x, y)]))[0], [len(x)]) if same else (None, None)
+        for start, near in _near(*(matrix(s) if len(s) else [] for s in (x, y)), eps):
+            if same:
+                near &= one[start : start + len(near), None] != other[None]
+            left[start : start + len(near)] = near.sum(1)
+            right += 0 if same else near.sum(0)
+        found = [(x, left)] if same else [(x, left), (y, right)]
+        return pa.concat_tables([pa.table({"id": s.column("id"), "n": n}).filter(pa.array(n > 0)) for s, n in found])
+
+    return tiled(placed, count, f"id {placed.schema['id'].dataType.simpleString()}, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -178,13 +175,42 @@ def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def dbscan(vectors: DataFrame, id_col: str, vector: str, eps: float = 0.35, min_samples: int = 3) -> DataFrame:
     """(id, ``cluster``): density clusters under 1 - cosine, named by their least core id; noise is -1.
 
-    A core point has ``min_samples`` points within ``eps``, itself included. A border point joins its least-named core.
+    A core point has ``min_samples`` points within ``eps``, itself included. A border point joins its least-named core. Of a
+    tile's pairs only links leave it: one from each core point to its component in the tile, and those of border points,
+    which have fewer than ``min_samples``.
     """
-    near = shared_checkpoint(neighbours(vectors, id_col, vector, eps))
-    core = shared_checkpoint(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") + 1 >= min_samples).select(F.col("a").alias("id")))
-    inner = near.join(core.select(F.col("id").alias("a")), "a", "left_semi").join(core.select(F.col("id").alias("b")), "b", "left_semi")
-    roots = connected(inner, core)
-    border = near.join(roots.select(F.col("id").alias("b"), "root"), "b").join(core.select(F.col("id").alias("a")), "a", "left_anti").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("root"))
+    import numpy as np
+    import pyarrow as pa
+
+    placed = _placed(vectors, id_col, vector)
+    core = shared_checkpoint(_counts(placed, eps).filter(F.col("n") + 1 >= min_samples).select("id"))
+    known = shared_checkpoint(placed.join(core.withColumn("core", F.lit(True)), "id", "left").withColumn("core", F.coalesce("core", F.lit(False))))
+
+    def links(key, x: pa.Table, y: pa.Table) -> pa.Table:
+        sides = [x] if key[1] == key[2] else [x, y]
+        if not all(map(len, sides)):
+            return pa.table({"a": x.column("id")[:0], "b": x.column("id")[:0], "inner": pa.array([], pa.bool_())})
+        v, core = [matrix(s) for s in sides], [s.column("core").to_numpy() for s in sides]
+        shift, root = [0, len(x)], np.arange(sum(map(len, sides)))
+        inside, outside = [np.flatnonzero(c) for c in core], [np.flatnonzero(~c) for c in core]
+        for start, near in _near(v[0][inside[0]], v[-1][inside[-1]], eps):
+            at, to = np.nonzero(near)
+            root = joined(root, inside[0][at + start], inside[-1][to] + shift[len(sides) - 1])
+        a, b = [np.flatnonzero(root != np.arange(len(root)))], [root[root != np.arange(len(root))]]
+        for k in range(len(sides)):
+            other = len(sides) - 1 - k
+            for start, near in _near(v[k][outside[k]], v[other][inside[other]], eps):
+                at, to = np.nonzero(near)
+                a.append(outside[k][at + start] + shift[k])
+                b.append(inside[other][to] + shift[other])
+        ids = pa.chunked_array([c for s in sides for c in s.column("id").chunks])
+        inner = np.arange(sum(map(len, a))) < len(a[0])
+        return pa.table({"a": ids.take(pa.array(np.concatenate(a))), "b": ids.take(pa.array(np.concatenate(b))), "inner": inner})
+
+    id_type = placed.schema["id"].dataType.simpleString()
+    found = shared_checkpoint(tiled(known, links, f"a {id_type}, b {id_type}, inner boolean"))
+    roots = connected(found.filter("inner"), core)
+    border = found.filter("NOT inner").join(roots.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("root"))
     found = roots.unionByName(border)
     return vectors.select(F.col(id_col).alias("id")).join(found, "id", "left").select("id", F.coalesce("root", F.lit(-1)).alias("cluster"))
 

@@ -53,3 +53,36 @@ def test_clusters_of_many_tiles_are_those_of_one_task(spark, monkeypatch):
             want |= {(day, i): v for i, v in enumerate(zip(labels.tolist(), persistence.tolist(), strict=True))}
         assert set(got) == set(want) and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) <= 1e-8 * want[k][1] for k in want)
         assert similarity.blocked(df.selectExpr("day AS g", "id", "v").filter("g = 1")).select("block").distinct().count() == (10 if n > 3 else 1)
+
+
+def test_wide_radius_copies_vectors_no_more_as_they_grow(spark, monkeypatch):
+    from prismframe.operators import similarity
+
+    monkeypatch.setattr(similarity, "CELL_ROWS", 10)
+    monkeypatch.setattr(similarity, "BLOCKS", 3)
+    monkeypatch.setattr(similarity, "CHUNK_ROWS", 7)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = 1 - x.astype(float) @ x.T.astype(float) <= 0.25
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None)], "id long, v array<float>")
+    sent, plain = [], similarity.tiled
+
+    def watched(placed, run, schema):
+        def counted(key, left, right):
+            assert len(left) + len(right) < 300  # of three blocks a task has two at most
+            return run(key, left, right)
+
+        sent.append(placed.agg(F.max("h")).first()[0])
+        return plain(placed, counted, schema)
+
+    monkeypatch.setattr(similarity, "tiled", watched)
+    assert {r.id: r.n for r in similarity.neighbour_counts(df, "id", "v", 0.25).collect()} == {i: int(k) for i, k in enumerate(near.sum(1)) if k}
+    core = near.sum(1) >= 4
+    root = {i: i for i in range(300) if core[i]}
+    for _ in range(300):
+        root = {i: min([root[i], *(root[j] for j in np.flatnonzero(near[i]) if core[j])]) for i in root}
+    want = {i: root.get(i, min([root[j] for j in np.flatnonzero(near[i]) if core[j]], default=-1)) for i in range(300)} | {900: -1}
+    assert {r.id: r.cluster for r in similarity.dbscan(df, "id", "v", 0.25, 5).collect()} == want
+    assert sent == [3, 3, 3] and len(set(want.values())) > 3
