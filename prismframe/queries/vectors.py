@@ -53,8 +53,7 @@ def cluster_convergence(spark, sf_dir):
 @query(f"""WITH n AS (SELECT a.vec_id AS a, count(*) AS n FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND 1 - {_DOT.format(a='a.embedding', b='b.embedding')} <= 0.62 GROUP BY 1)
 SELECT a AS vec_id, n FROM n""")
 def epsilon_graph(spark, sf_dir):
-    n = S.neighbours(_vectors(spark, sf_dir), "vec_id", "embedding", 0.62)
-    return n.groupBy(F.col("a").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"))
+    return S.neighbour_counts(_vectors(spark, sf_dir), "vec_id", "embedding", 0.62).withColumnRenamed("id", "vec_id")
 
 
 @query(f"""WITH RECURSIVE e AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND 1 - {_DOT.format(a='a.embedding', b='b.embedding')} <= 0.62),
