@@ -31,7 +31,11 @@ MIN_LENGTH = 4
 
 def singular(token: Column) -> Column:
     """Lower case without the first of ``PLURALS`` that leaves at least four letters."""
-    out = token = F.lower(token)
+    return _stem(F.lower(token))
+
+
+def _stem(token: Column) -> Column:
+    out = token
     for suffix in reversed(PLURALS):
         fits = token.endswith(suffix) & (F.length(token) - len(suffix) >= MIN_LENGTH) & (F.length(token) > MIN_LENGTH)
         out = F.when(fits, F.left(token, F.length(token) - len(suffix))).otherwise(out)
@@ -40,7 +44,8 @@ def singular(token: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Letter runs of four or more in any script, singular, without stopwords; null text has none."""
-    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\p{L}{4,})"), F.lit(1)), singular)
+    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\p{L}{4,})"), F.lit(1)), F.lower)
+    words = F.transform(words, _stem)  # lambdas share nothing: each mention of a lower case would be worked out again
     return F.filter(words, lambda w: (F.length(w) >= MIN_LENGTH) & ~w.isin(*STOPWORDS))  # so many literals become a hash set
 
 

@@ -10,9 +10,12 @@ from ..functions import stats
 from ..plans.session import shared_checkpoint
 
 
-def counts(docs: DataFrame, by: list[str], words: Column) -> DataFrame:
-    """``by``, ``term``, ``n``: one partial aggregation and one shuffle."""
-    return count_rows(docs.select(*by, F.explode(words).alias("term")), by)
+def counts(docs: DataFrame, by: list[str], words: Column, together: list[str] | None = None) -> DataFrame:
+    """``by``, ``term``, ``n``: one partial aggregation and one shuffle. Terms that hardly repeat go to the place of the keys
+    ``together`` as they are, and what is asked by these keys later needs no shuffle of its own.
+    """
+    rows = docs.select(*by, F.explode(words).alias("term"))
+    return count_rows(rows.repartition(*together) if together else rows, by)
 
 
 def count_rows(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -20,17 +23,23 @@ def count_rows(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def against_cohort(found: DataFrame, bucket: str = "bucket", cohort: str = "lang") -> DataFrame:
+def against_cohort(found: DataFrame, bucket: str = "bucket", cohort: str = "lang", least: int = 1) -> DataFrame:
     """Counts with the cohort's others left over: ``a``, ``b``, ``total_a``, ``total_b``. What is left of the cohort without
     oneself is its sum minus one's own.
 
-    The counts are written once: texts are split once, whatever is asked of them. Only (cohort, term) shuffles; totals are a
-    row per bucket, aggregated map-side and joined by whatever their size allows.
+    The counts are written once, with the others': texts are split once, whatever is asked of them. Only (cohort, term)
+    shuffles; totals are a row per bucket, aggregated map-side and joined by whatever their size allows. Of terms that a
+    bucket has fewer than ``least`` times only their sum is written, for the totals.
     """
-    found = shared_checkpoint(found.select(bucket, cohort, "term", "n"))
+    others = F.sum("n").over(W.partitionBy(cohort, "term")) - F.col("n")
+    found = found.select(bucket, cohort, "term", "n", others.alias("b"))
+    if least > 1:
+        often = F.col("n") >= least
+        found = found.groupBy(bucket, cohort, F.when(often, F.col("term")).alias("term"), F.when(often, F.col("b")).alias("b")).agg(F.sum("n").alias("n"))
+    found = shared_checkpoint(found)
     own = found.groupBy(bucket, cohort).agg(F.sum("n").alias("total_a"))
     totals = shared_checkpoint(own.join(own.groupBy(cohort).agg(F.sum("total_a").alias("all")), cohort))
-    both = found.withColumn("b", F.sum("n").over(W.partitionBy(cohort, "term")) - F.col("n")).join(totals, [bucket, cohort])
+    both = found.filter(F.col("term").isNotNull()).join(totals, [bucket, cohort])
     return both.select(bucket, cohort, "term", F.col("n").alias("a"), "b", "total_a", F.greatest(F.col("all") - F.col("total_a"), F.lit(1)).alias("total_b"))
 
 
@@ -81,16 +90,15 @@ def persistent_baseline(docs: DataFrame, day: str, words: Column, least_days: in
 def tilt(own: DataFrame, baseline: DataFrame, by: str, least: int = 2) -> DataFrame:
     """Log odds of every term of an outlet, or of the baseline, against the baseline: ``a``, ``b``, ``log_odds``, ``z``.
 
-    Terms seen fewer than ``least`` times on both sides are left out before the union of keys is built.
+    Terms seen fewer than ``least`` times on both sides are left out. ``own`` is read three times: pass it written.
     """
-    totals = own.groupBy(by).agg(F.sum("n").alias("total_a"))
-    base_total = baseline.agg(F.sum("n").alias("total_b"))
-    common = baseline.filter(F.col("n") >= least)
-    keys = own.filter(F.col("n") >= least).select(by, "term").unionByName(totals.select(by).crossJoin(common.select("term"))).distinct()
-    joined = (
-        keys.join(own.select(by, "term", F.col("n").alias("a")), [by, "term"], "left").join(baseline.select("term", F.col("n").alias("b")), "term", "left")
-        .join(totals, by).crossJoin(base_total).na.fill(0, ["a", "b"])
-    )
+    totals = shared_checkpoint(own.groupBy(by).agg(F.sum("n").alias("total_a")))
+    base = shared_checkpoint(baseline.select("term", F.col("n").alias("b")))
+    common = base.filter(F.col("b") >= least)
+    here = own.select(by, "term", F.col("n").alias("a")).join(base, "term", "left").na.fill(0, ["b"]).filter((F.col("a") >= least) | (F.col("b") >= least))
+    absent = totals.select(by).crossJoin(common).join(own.join(common.select("term"), "term", "left_semi").select(by, "term"), [by, "term"], "left_anti")
+    keys = here.select(by, "term", "a", "b").unionByName(absent.select(by, "term", F.lit(0).cast("long").alias("a"), "b"))
+    joined = keys.join(totals, by).crossJoin(base.agg(F.sum("b").alias("total_b")))
     delta, z = stats.log_odds(F.col("a"), F.col("b"), F.col("total_a"), F.col("total_b"))
     return joined.withColumn("log_odds", F.round(delta, 6)).withColumn("z", F.round(z, 6))
 

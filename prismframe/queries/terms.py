@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.stats import p_of_z
 from ..operators import terms as T
+from ..plans.session import shared_checkpoint
 from .registry import ARTICLES, LOG_ODDS, Z, articles, bigrams_sql, g2_sql, query, tokens_sql
 
 _WORDS = f"words AS (SELECT doc_id, outlet AS bucket, lang, country, section, day, {tokens_sql('body')} AS w FROM articles)"
@@ -37,8 +38,8 @@ g AS (SELECT *, round({LOG_ODDS}, 6) AS log_odds, round({Z}, 6) AS z FROM cohort
 r AS (SELECT *, row_number() OVER (PARTITION BY bucket, lang ORDER BY z DESC, term) AS rank FROM g WHERE z >= 1.96)
 SELECT bucket, lang, term, a, b, log_odds, z, rank FROM r WHERE rank <= 25""")
 def within_language_bigrams(spark, sf_dir):
-    found = T.counts(_words(spark, sf_dir), ["bucket", "lang"], X.bigrams(F.col("w")))
-    return T.log_odds_terms(T.against_cohort(found), ["bucket", "lang"]).select("bucket", "lang", "term", "a", "b", "log_odds", "z", F.col("rank").cast("long").alias("rank"))
+    found = T.counts(_words(spark, sf_dir), ["bucket", "lang"], X.bigrams(F.col("w")), together=["lang", "term"])
+    return T.log_odds_terms(T.against_cohort(found, least=2), ["bucket", "lang"]).select("bucket", "lang", "term", "a", "b", "log_odds", "z", F.col("rank").cast("long").alias("rank"))
 
 
 _NAMES = ("Therland", "north Eauria")
@@ -94,10 +95,8 @@ t AS (SELECT bucket, term, a, b, round({LOG_ODDS}, 6) AS log_odds, round({Z}, 6)
 
 
 def _tilt(spark, sf_dir):
-    a = _words(spark, sf_dir)
-    grams = X.bigrams(F.col("w"))
-    own = T.counts(a.filter(~F.col("bucket").isin("src1", "src2")), ["bucket"], grams)
-    wire = T.counts(a.filter(F.col("bucket").isin("src1", "src2")), ["bucket"], grams).groupBy("term").agg(F.sum("n").alias("n"))
+    found = shared_checkpoint(T.counts(_words(spark, sf_dir), ["bucket"], X.bigrams(F.col("w")), together=["term"]))  # read four times
+    own, wire = found.filter(~F.col("bucket").isin("src1", "src2")), found.filter(F.col("bucket").isin("src1", "src2")).groupBy("term").agg(F.sum("n").alias("n"))
     return T.tilt(own, wire, "bucket")
 
 
@@ -120,6 +119,7 @@ def bucket_mean_baseline(spark, sf_dir):
 def tilt_significance(spark, sf_dir):
     """p of z by an Arrow function on the terms that are left, then false-discovery control per outlet and sign."""
     t = _tilt(spark, sf_dir).filter("z <> 0").withColumn("side", F.when(F.col("z") > 0, "positive").otherwise("negative")).withColumn("p", p_of_z(F.col("z")))
+    t = shared_checkpoint(t.select("bucket", "side", "term", "z", "p"))  # read twice
     return T.benjamini_hochberg(t, "p", ["bucket", "side"]).filter("p <= 0.05").select("bucket", "side", "term", "z", "p", "significant")
 
 
@@ -147,8 +147,6 @@ def theme_persistence(spark, sf_dir):
 SELECT a.bucket AS a, b.bucket AS b, CAST(len(list_intersect(a.v, b.v)) AS BIGINT) AS common, round(len(list_intersect(a.v, b.v)) / (len(a.v) + len(b.v) - len(list_intersect(a.v, b.v))), 6) AS jaccard FROM s a JOIN s b ON a.bucket < b.bucket""")
 def vocabulary_overlap(spark, sf_dir):
     """Through the inverted index: buckets meet at the terms they share."""
-    from ..plans.session import shared_checkpoint
-
     a = articles(spark, sf_dir).withColumn("bucket", F.col("outlet"))
     long = shared_checkpoint(X.token_rows(a, ["bucket"], F.col("body")).distinct())  # read three times
     n = long.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
