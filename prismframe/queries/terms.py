@@ -56,10 +56,11 @@ def distinctive_phrases(spark, sf_dir):
     from ..functions import stats
     from ..operators import selection as SL
 
-    grams = T.against_cohort(T.counts(_words(spark, sf_dir), ["bucket", "lang"], X.bigrams(F.col("w"))))
+    terms = T.counts(_words(spark, sf_dir), ["bucket", "lang"], F.concat(F.col("w"), X.bigrams(F.col("w"))))  # texts are split once for both
+    every = T.against_cohort(terms.withColumn("pool", F.struct("lang", F.col("term").contains(" ").alias("pair"))), cohort="pool", least=5)
+    grams, found = every.filter("pool.pair"), every.filter("NOT pool.pair AND a >= 5 AND a * total_b > b * total_a")
     _, z = stats.log_odds(F.col("a"), F.col("b"), F.col("total_a"), F.col("total_b"))
     pairs = grams.filter("a >= 8").select("bucket", "term", F.round(z, 6).alias("score")).filter("score >= 1.96")
-    found = T.against_cohort(T.count_rows(_rows(spark, sf_dir), ["bucket", "lang"])).filter("a >= 5 AND a * total_b > b * total_a")
     single = found.select("bucket", "term", F.round(stats.g2(F.col("a"), F.col("b"), F.col("total_a"), F.col("total_b")), 6).alias("score")).filter(F.col("score") >= stats.CHI2_001)
     return SL.distinctive_phrases(pairs, single, F.array(*map(F.lit, _NAMES)), least=25, top=12)
 

@@ -86,3 +86,30 @@ def test_wide_radius_copies_vectors_no_more_as_they_grow(spark, monkeypatch):
     want = {i: root.get(i, min([root[j] for j in np.flatnonzero(near[i]) if core[j]], default=-1)) for i in range(300)} | {900: -1}
     assert {r.id: r.cluster for r in similarity.dbscan(df, "id", "v", 0.25, 5).collect()} == want
     assert sent == [3, 3, 3] and len(set(want.values())) > 3
+
+
+def test_texts_are_split_once(spark, monkeypatch):
+    from prismframe.operators import terms
+    from prismframe.queries import QUERIES
+    from prismframe.queries.terms import _tilt
+
+    sf = "/root/testdata/sf0.001"
+    assert not any("documents.parquet" in f for f in _tilt(spark, sf).inputFiles())
+    tests, control = [], terms.benjamini_hochberg
+    monkeypatch.setattr(terms, "benjamini_hochberg", lambda t, *rest: tests.append(t) or control(t, *rest))
+    QUERIES["tilt_significance"](spark, sf)
+    assert "ArrowEvalPython" not in tests[0]._jdf.queryExecution().executedPlan().toString()
+    calls, plain = [], terms.count_rows
+    monkeypatch.setattr(terms, "count_rows", lambda *a: calls.append(a) or plain(*a))
+    QUERIES["distinctive_phrases"](spark, sf)
+    assert len(calls) == 1
+
+
+def test_rare_terms_count_in_totals_only(spark):
+    from prismframe.operators.terms import against_cohort
+
+    data = [("a", "x", "t", 2), ("a", "x", "u", 1), ("b", "x", "t", 1), ("b", "x", "v", 3), ("c", "y", "t", 4)]
+    found = spark.createDataFrame(data, "bucket string, lang string, term string, n long")
+    got = against_cohort(found, least=2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, against_cohort(found).filter("a >= 2").collect())) == [("a", "x", "t", 2, 1, 3, 4), ("b", "x", "v", 3, 0, 4, 3), ("c", "y", "t", 4, 0, 4, 1)]
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
